@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscan.llm import mixture, tokens
+from folioscan.llm import mixture, neardup, tokens, unify
 from folioscan.session import table
 
 
@@ -12,6 +12,23 @@ def p1_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.corpus_budget(table(spark, sf_dir, "documents"), table(spark, sf_dir, "chunks"), table(spark, sf_dir, "document_index"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_pairs(table(spark, sf_dir, "chunks"))
+
+
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "chunks"), bag=True)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unify.differing_twins(table(spark, sf_dir, "chunks"))
+
+
+def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = table(spark, sf_dir, "chunks").select("chunk_id", "text", "retrieval_text")
+    return unify.unify(chunks, ["text", "retrieval_text"]).select("chunk_id", "text_form", "retrieval_text_form")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -25,7 +42,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_budget, p7_ids, p8_mix, p8_shares)}
+    return {f.__name__: f for f in (p1_budget, p2_found, p2_groups, p5_found, p5_unified, p7_ids, p8_mix, p8_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
