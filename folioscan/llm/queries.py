@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscan.llm import mixture, neardup, tokens, unify
+from folioscan.llm import mixture, neardup, relevance, repetition, splitting, tokens, unify
 from folioscan.session import table
 
 
@@ -20,6 +20,14 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_groups(table(spark, sf_dir, "chunks"), bag=True)
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_pieces(spark, sf_dir).where("piece = 1").select("chunk_id")
+
+
+def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split_oversized(table(spark, sf_dir, "chunks"), keep=["doc_id", "title_path"])
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify.differing_twins(table(spark, sf_dir, "chunks"))
 
@@ -29,6 +37,14 @@ def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify.unify(chunks, ["text", "retrieval_text"]).select("chunk_id", "text_form", "retrieval_text_form")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relevance.shared_codes(table(spark, sf_dir, "chunks"))
+
+
+def p6_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relevance.characteristic_terms(table(spark, sf_dir, "chunks"), "chunk_id", ["retrieval_text", "section_title"])
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -41,8 +57,16 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.document_mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetitive(table(spark, sf_dir, "documents"))
+
+
+def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_budget, p2_found, p2_groups, p5_found, p5_unified, p7_ids, p8_mix, p8_shares)}
+    return {f.__name__: f for f in (p1_budget, p2_found, p2_groups, p4_found, p4_pieces, p5_found, p5_unified, p6_found, p6_terms, p7_ids, p8_mix, p8_shares, p9_found, p9_profile)}
 
 
 def oracle_sql() -> dict[str, str]:
