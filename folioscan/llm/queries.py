@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioscan.llm import mixture, neardup, relevance, repetition, splitting, tokens, unify
+from folioscan.llm import markup, mixture, neardup, relevance, repetition, splitting, tokens, unify
 from folioscan.session import table
 
 
@@ -20,6 +21,25 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_groups(table(spark, sf_dir, "chunks"), bag=True)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.with_markup(table(spark, sf_dir, "chunks"))
+
+
+def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.markup_streams(table(spark, sf_dir, "chunks"))
+
+
+def p3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A host is the folder that a document's Markdown was parsed into, by its latest state."""
+    index = table(spark, sf_dir, "document_index").where("source_markdown_path IS NOT NULL")
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("host")
+    hosts = index.groupBy("doc_id").agg(F.max_by("source_markdown_path", F.struct("indexed_at", "source_markdown_path")).alias("path")).select("doc_id", folder)
+    chunks = table(spark, sf_dir, "chunks")
+    streams = markup.markup_streams(chunks.select(F.struct("chunk_id", "doc_id").alias("of"), "text"), "of").groupBy("of").agg(F.max("structure").alias("structure"))
+    by_document = streams.select("of.doc_id", "structure").join(hosts, "doc_id", "left")
+    return markup.host_wrappers(by_document.select("host", "structure"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p4_pieces(spark, sf_dir).where("piece = 1").select("chunk_id")
 
@@ -66,7 +86,7 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_budget, p2_found, p2_groups, p4_found, p4_pieces, p5_found, p5_unified, p6_found, p6_terms, p7_ids, p8_mix, p8_shares, p9_found, p9_profile)}
+    return {f.__name__: f for f in (p1_budget, p2_found, p2_groups, p3_found, p3_clean, p3_wrappers, p4_found, p4_pieces, p5_found, p5_unified, p6_found, p6_terms, p7_ids, p8_mix, p8_shares, p9_found, p9_profile)}
 
 
 def oracle_sql() -> dict[str, str]:
