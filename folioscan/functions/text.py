@@ -150,5 +150,6 @@ def compact(column: Column) -> Column:
 
 
 def matched_terms(text: Column, terms: Column, most: int = 20) -> Column:
-    """the terms contained in the text, both without spaces; the first `most`."""
-    return let(compact(text), lambda whole: F.slice(F.filter(terms, lambda t: let(compact(t), lambda c: (c != "") & F.contains(whole, c))), 1, most))
+    """the terms contained in the text, both without spaces; the first `most`. Terms must be normalized."""
+    bare = lambda t: F.replace(t, F.lit(" "), F.lit(""))
+    return let(compact(text), lambda whole: F.slice(F.filter(terms, lambda t: (t != "") & F.contains(whole, bare(t))), 1, most))

@@ -8,23 +8,12 @@ from pyspark.sql import functions as F
 from folioscan.functions import rules
 from folioscan.functions.text import matched_terms, normalize
 from folioscan.operators.bm25 import Bm25Index
+from folioscan.operators.recall import DOC_K, DOC_PREFIX, DOMAINS_MEET, all_wanted, document_heads, match_terms, own_terms, recall_documents, signal_weights
 from folioscan.session import materialize
 
-DOC_K, BM25_K, TOP_K = 8, 30, 15
-DOC_PREFIX, TEXT_KEY, EVIDENCE_CHARS = 800, 120, 1200
-KEYWORD_FACTOR, DOC_ID_BONUS = 1.2, 5.0
-#: Rows of one document (or domain) that meet its queries in one task.
-PART_ROWS = 1000
-
-
-def meet(rows: DataFrame, queries: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """Inner join on `key`, where one key may hold a large part of the rows: its rows are spread over parts and
-    its queries repeated for each part. Part numbers come from a count by key."""
-    parts = rows.groupBy(key).agg(F.ceil(F.count("*") / part_rows).cast("int").alias("_parts"))
-    spread = rows.join(parts, key).withColumn("_part", F.pmod(F.xxhash64("ord"), F.col("_parts")).cast("int")).drop("_parts")
-    asked = queries.join(parts, key).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
-    return spread.join(asked, [key, "_part"]).drop("_part")
-
+BM25_K, TOP_K = 30, 15
+TEXT_KEY, EVIDENCE_CHARS = 120, 1200
+KEYWORD_FACTOR = 1.2
 
 def distinct_questions(questions: DataFrame) -> DataFrame:
     """Questions with one row per qid and without null qid; a null domain is empty."""
@@ -60,46 +49,39 @@ def document_texts(chunks: DataFrame) -> DataFrame:
     )
 
 
-def recall_documents(documents: DataFrame, questions: DataFrame, top_k: int = DOC_K) -> DataFrame:
-    """A10, L4: the best documents of each question by keyword score: qid, doc_id, domain, score, rank.
-
-    A document whose id is part of the query gains 5. Questions meet the documents of their domain and those
-    without domain; a question without domain meets all. Ties go by the documents' order.
-    """
-    asked = questions.select("qid", "domain", rules.question_query(F.col("question"), F.col("options")).alias("query"))
-    asked = asked.select("qid", F.col("domain").alias("query_domain"), "query", rules.extract_signals(F.col("query"), F.col("domain")).alias("signals"))
-    # any: the key by which a question without domain meets every document
-    keys = F.when(F.col("query_domain") == "", F.array(F.lit("*any"))).otherwise(F.array("query_domain", F.lit("")))
-    asked = asked.withColumn("meeting", F.explode(keys))
-    docs = documents.select("doc_id", "ord", F.col("domain").alias("doc_domain"), normalize("text").alias("doc_text"), F.explode(F.array("domain", F.lit("*any"))).alias("meeting"))
-    score = rules.keyword_score(F.col("doc_text"), F.col("signals"), F.col("query_domain")) + F.when(
-        (F.col("doc_id") != "") & F.contains("query", F.col("doc_id")), DOC_ID_BONUS
-    ).otherwise(0.0)
-    scored = meet(docs, asked, "meeting").select("qid", "doc_id", "ord", F.col("doc_domain").alias("domain"), F.round(score, 6).alias("score"))
-    best = Window.partitionBy("qid").orderBy(F.desc("score"), "ord")
-    # scores are tested after they are ranked: a filter before would be pushed down and compute each score twice
-    return scored.withColumn("rank", F.row_number().over(best)).where((F.col("rank") <= top_k) & (F.col("score") > 0)).drop("ord")
-
-
-def candidate_documents(questions: DataFrame, documents: DataFrame, doc_k: int = DOC_K) -> DataFrame:
+def candidate_documents(questions: DataFrame, chunks: DataFrame, doc_k: int = DOC_K) -> DataFrame:
     """(qid, doc_id): the documents a question names, or else those recalled for it."""
     named = F.size(F.coalesce("doc_ids", F.array().cast("array<string>"))) > 0
     given = questions.where(named).select("qid", F.explode("doc_ids").alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct()
-    return given.unionByName(recall_documents(documents, questions.where(~named), doc_k).select("qid", "doc_id"))
+    return given.unionByName(recall_documents(chunks, questions.where(~named), doc_k).select("qid", "doc_id"))
 
 
-def keyword_search(chunks: DataFrame, queries: DataFrame, restrict: DataFrame) -> DataFrame:
-    """The best chunks of each query by keyword score, among the documents of `restrict` (query, doc_id).
+def keyword_search(chunks: DataFrame, queries: DataFrame, restrict: DataFrame, most: int = BM25_K) -> DataFrame:
+    """The best chunks of each query by keyword score, among the documents of `restrict` (query, doc_id).
 
-    queries: query, text, domain, k, signals. Result: query, ord, chunk_id, doc_id, score, rank. Texts are scored where
-    chunk and query meet; only scores move on. A query without documents in `restrict` finds nothing.
+    queries: query, text, domain, k (at most `most`), signals. Result: query, ord, score, rank; ties go by ord. Terms
+    of all queries are matched against each chunk once; queries meet chunks by term and document. A query without
+    documents in `restrict` finds nothing.
     """
-    asked = restrict.join(queries.select("query", F.col("domain").alias("query_domain"), "signals", "k"), "query")
-    rows = chunks.select("ord", "chunk_id", "doc_id", "domain", "text")
-    met = meet(rows, asked, "doc_id").where((F.col("query_domain") == "") | (F.col("domain") == "") | (F.col("query_domain") == F.col("domain")))
-    scored = met.select("query", "ord", "chunk_id", "doc_id", "k", F.round(rules.keyword_score(F.col("text"), F.col("signals"), F.col("query_domain")), 6).alias("score"))
+    asked = queries.select("query", F.col("domain").alias("asked"), F.col("signals").alias("s"))
+    wanted = materialize(signal_weights(asked, "query"), "wanted")
+    own = own_terms(chunks.sparkSession)
+    found = match_terms(chunks.select("ord", "text"), all_wanted(wanted, own), "ord")
+    held = materialize(found.join(chunks.select("ord", "doc_id", "domain"), "ord"), "held")
+    by_terms = held.join(wanted.join(restrict, "query"), ["kind", "term", "doc_id"]).where(DOMAINS_MEET).groupBy("query", "asked", "ord").agg(F.sum("weight").alias("gain"))
+    bonus = materialize(
+        held.where("kind = 'plain'").join(F.broadcast(own), "term").where(DOMAINS_MEET)
+        .groupBy("asked", "doc_id", "ord").agg((F.count("*") * rules.DOMAIN_WEIGHT).alias("bonus")), "bonus",
+    )
+    # chunks with nothing but a bonus: the best of each document are enough
+    leading = Window.partitionBy("asked", "doc_id").orderBy(F.desc("bonus"), "ord")
+    fronts = bonus.withColumn("n", F.row_number().over(leading)).where(F.col("n") <= most).select("asked", "doc_id", "ord")
+    by_bonus = asked.select("query", "asked").join(restrict, "query").join(fronts, ["asked", "doc_id"]).select("query", "asked", "ord", F.lit(0.0).alias("gain"))
+    gains = by_terms.unionByName(by_bonus).groupBy("query", "asked", "ord").agg(F.sum("gain").alias("gain"))
+    scored = gains.join(bonus.select("asked", "ord", "bonus"), ["asked", "ord"], "left").join(queries.select("query", "k"), "query")
+    scored = scored.select("query", "ord", "k", F.round(F.col("gain") + F.coalesce("bonus", F.lit(0.0)), 6).alias("score")).where("score > 0")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "ord")
-    return scored.withColumn("rank", F.row_number().over(best)).where("rank <= k AND score > 0").drop("k")
+    return scored.withColumn("rank", F.row_number().over(best)).where("rank <= k").drop("k")
 
 
 def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K, index: Bm25Index | None = None, doc_k: int = DOC_K) -> DataFrame:
@@ -112,17 +94,17 @@ def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K,
     """
     chunks = materialize(chunks, "chunks")
     questions = materialize(distinct_questions(questions), "questions")
-    index = index or Bm25Index.build(chunks)
+    index = index or Bm25Index.build(chunks).kept()
     signals = rules.extract_signals(F.col("text"), F.col("domain"))
     queries = materialize(question_texts(questions).withColumn("signals", signals), "queries")
-    documents = materialize(document_texts(chunks), "documents")
-    restrict = queries.select("qid", "query").join(candidate_documents(questions, documents, doc_k), "qid").select("query", "doc_id")
+    documents = document_heads(chunks)
+    restrict = queries.select("qid", "query").join(candidate_documents(questions, chunks, doc_k), "qid").select("query", "doc_id")
     restrict = materialize(restrict, "restrict")
     lexical = index.search(queries.select("query", "text", "domain", "k"), restrict, "k").select("query", "ord", "score", "rank", F.lit(0).alias("search"))
     free = queries.join(restrict.select("query").distinct(), "query", "left_anti")
     anywhere = F.when(F.col("domain") == "", F.array(F.lit("*any"))).otherwise(F.array("domain", F.lit("")))
     everything = documents.select("doc_id", "ord", F.explode(F.array("domain", F.lit("*any"))).alias("meeting"))
-    unbound = meet(everything, free.select("query", F.explode(anywhere).alias("meeting")), "meeting").select("query", "doc_id")
+    unbound = everything.join(free.select("query", F.explode(anywhere).alias("meeting")), "meeting").select("query", "doc_id")
     keyword = keyword_search(chunks, queries, restrict.unionByName(unbound)).select("query", "ord", "score", "rank", F.lit(1).alias("search"))
     hits = lexical.unionByName(keyword).join(queries.select("query", "qid", "place", "option", "query_source", "signals"), "query")
     hits = hits.join(chunks.select("ord", "chunk_id", "doc_id", F.col("domain").alias("chunk_domain"), "text", "original_text"), "ord")

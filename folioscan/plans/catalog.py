@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from folioscan.functions import answers as A
 from folioscan.functions import rules as R
 from folioscan.functions import text as X
-from folioscan.operators import chunking, evaluate, retrieve, structure
+from folioscan.operators import chunking, evaluate, recall, retrieve, structure
 from folioscan.operators.bm25 import Bm25Index
 from folioscan.plans import sql as S
-from folioscan.session import table
+from folioscan.session import materialize, table
 from folioscan.sources import files, json_tables
 from folioscan.streaming.traces import run_token_windows
 
@@ -209,9 +209,9 @@ def bm25_topk(spark, d):
 @query(S.build("lexhits", "SELECT qid, place, ord, score, rank FROM lexhits"))
 def bm25_filtered_topk(spark, d):
     """Every query text among its candidate documents, with statistics of the whole index."""
-    chunks, asked = corpus(spark, d), questions(spark, d)
+    chunks, asked = materialize(corpus(spark, d), "chunks"), questions(spark, d)
     texts = retrieve.question_texts(asked)
-    candidates = retrieve.candidate_documents(asked, retrieve.document_texts(chunks))
+    candidates = retrieve.candidate_documents(asked, chunks)
     restrict = texts.select("qid", "query").join(candidates, "qid").select("query", "doc_id")
     hits = Bm25Index.build(chunks).search(texts.select("query", "text", "domain", "k"), restrict, "k")
     return hits.select("query.qid", F.col("query.place").cast("long").alias("place"), "ord", "score", F.col("rank").cast("long").alias("rank"))
@@ -227,15 +227,15 @@ def document_texts(spark, d):
 def doc_recall_topk(spark, d):
     """A10, L4, J5."""
     asked = questions(spark, d).where("coalesce(size(doc_ids), 0) <= 0")
-    return retrieve.recall_documents(retrieve.document_texts(corpus(spark, d)), asked).withColumn("rank", F.col("rank").cast("long"))
+    return recall.recall_documents(materialize(corpus(spark, d), "chunks"), asked).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(S.build("kwhits", "SELECT qid, place, ord, score, rank FROM kwhits"))
 def keyword_topk(spark, d):
     """A7, L2, J4."""
-    chunks, asked = corpus(spark, d), questions(spark, d)
-    texts = retrieve.question_texts(asked).withColumn("signals", R.extract_signals(F.col("text"), F.col("domain")))
-    candidates = retrieve.candidate_documents(asked, retrieve.document_texts(chunks))
+    chunks, asked = materialize(corpus(spark, d), "chunks"), questions(spark, d)
+    texts = materialize(retrieve.question_texts(asked).withColumn("signals", R.extract_signals(F.col("text"), F.col("domain"))), "queries")
+    candidates = retrieve.candidate_documents(asked, chunks)
     restrict = texts.select("qid", "query").join(candidates, "qid").select("query", "doc_id")
     hits = retrieve.keyword_search(chunks, texts, restrict)
     return hits.select("query.qid", F.col("query.place").cast("long").alias("place"), "ord", "score", F.col("rank").cast("long").alias("rank"))
