@@ -50,8 +50,9 @@ def common_form(text: str, fold_case: bool = False, keep_spaces: bool = False) -
         out = unicodedata.normalize("NFKC", unicodedata.normalize("NFKD", out).translate(_AS_LATIN))
     if fold_case:
         out = unicodedata.normalize("NFKC", out.casefold())
-    # normal form may bring white space, and joins what stood around dropped characters
-    return _BLANK.sub(" ", out).strip(" ") if keep_spaces else _DROP.sub("", out)
+    # normal form may bring white space of its own, whose removal may join an accent to a letter
+    again = _BLANK.sub(" ", out).strip(" ") if keep_spaces else _DROP.sub("", out)
+    return again if again == out else unicodedata.normalize("NFKC", again)
 
 
 def distinct_forms(column: pa.Array, fold_case: bool = False, keep_spaces: bool = False) -> tuple[list[str | None], np.ndarray]:
