@@ -34,7 +34,7 @@ def prefer_sources(files: DataFrame, prefer_txt: bool = True, path: str = "path"
 
 def text_pages(files: DataFrame) -> DataFrame:
     """S3: a text file is one page, number 1, of its cleaned UTF-8 text."""
-    return files.where("suffix = 'txt'").select("doc_id", F.lit(1).alias("page"), clean_text(F.decode("content", F.lit("UTF-8"))).alias("text"))
+    return files.where("suffix = 'txt'").select("doc_id", F.lit(1).alias("page"), clean_text(F.decode("content", "UTF-8")).alias("text"))
 
 
 def _pdf_texts(content: bytes) -> list[str]:
