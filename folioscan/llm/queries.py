@@ -89,5 +89,26 @@ def queries() -> dict:
     return {f.__name__: f for f in (p1_budget, p2_found, p2_groups, p3_found, p3_clean, p3_wrappers, p4_found, p4_pieces, p5_found, p5_unified, p6_found, p6_terms, p7_ids, p8_mix, p8_shares, p9_found, p9_profile)}
 
 
+_SPACE = "[ \\t\\n\\r\\x{a0}\\x{2000}-\\x{200a}\\x{202f}\\x{3000}]+"
+_ONE = "SELECT DISTINCT ON (chunk_id) * FROM chunks"
+#: Full-width letters, digits and hyphen: the compatibility forms that SQL can undo.
+_WIDE = "".join(chr(0xFF00 + i) for i in range(0x10, 0x5B))
+_NARROW = "".join(chr(0x20 + i) for i in range(0x10, 0x5B))
+
+_SQL = {
+    "p4_found": f"SELECT chunk_id FROM ({_ONE}) WHERE length(trim(regexp_replace(text, '{_SPACE}', ' ', 'g'))) > 1400",
+    "p6_found": f"""
+        WITH runs AS (
+            SELECT DISTINCT chunk_id, upper(run) AS term FROM (
+                SELECT chunk_id, unnest(regexp_extract_all(translate(coalesce(nullif(retrieval_text, ''), text, ''), '{_WIDE}－', '{_NARROW}-'), '[A-Za-z0-9-]+')) AS run FROM ({_ONE}))
+            WHERE length(regexp_replace(run, '[^A-Za-z]', '', 'g')) BETWEEN 2 AND 6 AND length(regexp_replace(run, '[^-]', '', 'g')) <= 1 AND length(regexp_replace(run, '[^0-9]', '', 'g')) >= 4)
+        SELECT chunk_id, term FROM runs WHERE term IN (SELECT term FROM runs GROUP BY term HAVING count(*) BETWEEN 2 AND 8)""",
+    "p9_found": f"""
+        WITH bare AS (SELECT doc_id, regexp_replace(text, '{_SPACE}', '', 'g') AS t FROM documents WHERE text IS NOT NULL),
+            windows AS (SELECT doc_id, substring(t, i, 20) AS w FROM (SELECT doc_id, t, unnest(range(1, length(t) - 18)) AS i FROM bare WHERE length(t) >= 100))
+        SELECT doc_id FROM windows GROUP BY doc_id HAVING (count(*) - count(DISTINCT w)) * 10 >= 3 * count(*)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
