@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscan.functions import text as X
+from folioscan.session import materialize
 
 LEVELS = ("heading", "chapter", "section", "article", "part", "item", "subitem")
 EDGE_LINES, EDGE_LENGTH, TOC_TITLE, TOC_LINES = 3, 6, "目录", 5
 
 
 def with_lines(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("lines", X.split_lines("text"))
+    """Pages with their lines, unless they bring them along."""
+    return pages if "lines" in pages.columns else pages.withColumn("lines", X.split_lines("text"))
 
 
 def repeated_edge_lines(pages: DataFrame) -> DataFrame:
@@ -42,7 +44,7 @@ def repeated_edge_lines(pages: DataFrame) -> DataFrame:
 
 
 def strip_page_edges(pages: DataFrame) -> DataFrame:
-    """Pages without repeated edge lines and page markers at their top and bottom; text is the joined lines.
+    """Pages (doc_id, page, text, lines) without repeated edge lines and page markers at their top and bottom.
 
     A document has at most 9 repeated lines an edge, as each takes a third of 3 places a page.
     """
@@ -56,7 +58,8 @@ def strip_page_edges(pages: DataFrame) -> DataFrame:
     after = F.array_position(F.reverse(kept("footers")), True)
     end = F.size("lines") + 1 - after
     middle = F.when((start > 0) & (after > 0) & (end >= start), F.slice("lines", start.cast("int"), (end - start + 1).cast("int"))).otherwise(none)
-    return with_lines(pages).join(repeated, "doc_id", "left").select("doc_id", "page", X.join_lines(middle).alias("text"))
+    kept_lines = with_lines(pages).join(repeated, "doc_id", "left").select("doc_id", "page", middle.alias("lines"))
+    return kept_lines.select("doc_id", "page", X.join_lines(F.col("lines")).alias("text"), "lines")
 
 
 def is_toc_page(lines: Column) -> Column:
@@ -99,6 +102,7 @@ def segments(pages: DataFrame) -> DataFrame:
         X.join_lines(F.slice("lines", F.col("at.first"), F.col("at.next") - F.col("at.first"))).alias("text"),
         F.coalesce(level, F.when(generic, "heading")).alias("level"), F.coalesce(X.heading_title(first), F.when(generic, first)).alias("own_title"),
     )
+    cut = materialize(cut, "segments")  # read twice: with texts and without
     order = Window.partitionBy("doc_id").orderBy("page", "segment")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state = cut.select("doc_id", "page", "segment", "level", "own_title").withColumn("place", F.row_number().over(order))
@@ -121,7 +125,7 @@ def segments(pages: DataFrame) -> DataFrame:
 
 def build_documents(pages: DataFrame) -> DataFrame:
     """(doc_id, page_count, segment_count, char_count) after edges are stripped."""
-    stripped = strip_page_edges(pages)
+    stripped = materialize(strip_page_edges(pages), "pages")
     counts = segments(stripped).groupBy("doc_id").agg(F.count("*").alias("segment_count"), F.sum(F.length("text")).alias("char_count"))
     return stripped.groupBy("doc_id").agg(F.count("*").alias("page_count")).join(counts, "doc_id", "left").select(
         "doc_id", "page_count", F.coalesce("segment_count", F.lit(0)).alias("segment_count"), F.coalesce("char_count", F.lit(0)).alias("char_count")
