@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -38,9 +40,12 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="folioscan-")
+        own = tempfile.mkdtemp(prefix="folioscan-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        named = "file://" + own
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
