@@ -160,3 +160,14 @@ def test_mixture(spark):
     assert all(sorted(p) == list(range(len(p))) for p in places.values()) and len(places) > 5
     empty, none = mixture.mixture(sized.limit(0), targets)
     assert empty.count() == 0 and none.count() == 4
+
+
+@pytest.mark.parametrize("sign", ["<!-- x ", "\\[ a\n", "*a ", "|a", "<a b ", "[[", "{{", "$a_", "\\emph{", "~~a", "`"])
+def test_unclosed_markup_takes_linear_time(sign):
+    import time
+
+    text = sign * 20_000
+    began = time.process_time()
+    markup.tokens(text)
+    markup.clean(text)
+    assert time.process_time() - began < 20
