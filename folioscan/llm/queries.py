@@ -62,6 +62,12 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every term of every chunk."""
+    return relevance.record_scores(table(spark, sf_dir, "chunks"), "chunk_id", ["retrieval_text", "section_title"])
+
+
+def p6_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of the 10 best terms of each chunk."""
     return relevance.characteristic_terms(table(spark, sf_dir, "chunks"), "chunk_id", ["retrieval_text", "section_title"])
 
 
@@ -86,7 +92,7 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_budget, p2_found, p2_groups, p3_found, p3_clean, p3_wrappers, p4_found, p4_pieces, p5_found, p5_unified, p6_found, p6_terms, p7_ids, p8_mix, p8_shares, p9_found, p9_profile)}
+    return {f.__name__: f for f in (p1_budget, p2_found, p2_groups, p3_found, p3_clean, p3_wrappers, p4_found, p4_pieces, p5_found, p5_unified, p6_found, p6_terms, p6_top_terms, p7_ids, p8_mix, p8_shares, p9_found, p9_profile)}
 
 
 _SPACE = "[ \\t\\n\\r\\x{a0}\\x{2000}-\\x{200a}\\x{202f}\\x{3000}]+"

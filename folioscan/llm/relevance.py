@@ -21,6 +21,8 @@ from folioscan.llm.batches import slices
 from folioscan.session import materialize
 
 K1, B = 1.5, 0.75
+#: Terms whose document frequencies are broadcast, the most frequent first, and how long they may be.
+HEAD_TERMS, HEAD_CHARS = 50_000, 64
 
 _ASCII_RUN = re.compile(r"[A-Za-z0-9-]+")
 _WORD = re.compile(r"[^\W_]+")
@@ -91,13 +93,14 @@ def record_terms(df: DataFrame, id_col: str, fields: list[str], terms: str) -> D
 
 
 def scored_terms(df: DataFrame, id_col: str = "chunk_id", fields: list[str] = ("text",), terms: str = "word",
-                 k1: float = K1, b: float = B) -> tuple[DataFrame, DataFrame]:
-    """(scores, records): record, term, tf, df and score of every term of every record; and record, id.
+                 k1: float = K1, b: float = B, head: int = HEAD_TERMS) -> tuple[DataFrame, DataFrame]:
+    """(scored, records): record, id, term, tf, df and score of every term of every record; and record, id.
 
     Null and empty fields add no terms, and a record without terms still counts in the collection. Rows of one id are
-    one record (they are taken to be equal). Records are numbered, so that postings carry a number for the id. The number of records and
-    their average length are one row, which is broadcast; document frequencies meet the postings in a shuffle
-    by term, as partial counts first.
+    one record (they are taken to be equal). Records are numbered, so that postings can carry a number for the id. The
+    number of records and their average length are one row, which is broadcast. Document frequencies are partial
+    counts first; those of the `head` most frequent terms are broadcast, so that most postings are scored
+    where they lie, and the postings of all other terms meet theirs in a shuffle by term.
     """
     if terms == "code":  # few terms: copies are dropped after them
         rows = record_terms(df, id_col, list(fields), terms)
@@ -106,21 +109,34 @@ def scored_terms(df: DataFrame, id_col: str = "chunk_id", fields: list[str] = ("
         one = record_terms(df.groupBy(id_col).agg(*(F.first(c).alias(c) for c in fields)), id_col, list(fields), terms)
     records = materialize(one.withColumn("record", F.monotonically_increasing_id()), "records")
     collection = records.agg(F.count("*").alias("n"), F.avg("length").alias("mean"))
-    posted = records.select("record", "length", F.explode(F.arrays_zip("terms", "tfs")).alias("p")).select(
-        "record", "length", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf")
+    posted = records.select("record", id_col, "length", F.explode(F.arrays_zip("terms", "tfs")).alias("p")).select(
+        "record", id_col, "length", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf")
     )
     frequency = posted.groupBy("term").agg(F.count("*").alias("df"))
+    if head and terms != "code":
+        frequency = materialize(frequency, "frequency")
+        often = materialize(frequency.where(F.length("term") <= HEAD_CHARS).orderBy(F.desc("df"), "term").limit(head), "often")
+        seldom = posted.join(F.broadcast(often), "term", "left_anti").join(frequency.hint("shuffle_hash"), "term")
+        met = posted.join(F.broadcast(often), "term").unionByName(seldom)
+    else:
+        met = posted.join(frequency.hint("shuffle_hash"), "term")
     idf = F.log1p((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
-    scored = posted.join(frequency.hint("shuffle_hash"), "term").crossJoin(F.broadcast(collection))
-    return scored.select("record", "term", "tf", "df", (idf * tf).alias("score")), records.select("record", id_col)
+    scored = met.crossJoin(F.broadcast(collection))
+    return scored.select("record", id_col, "term", "tf", "df", (idf * tf).alias("score")), records.select("record", id_col)
+
+
+def record_scores(df: DataFrame, id_col: str, fields: list[str], head: int = HEAD_TERMS) -> DataFrame:
+    """Every term of every record with its score (6 places): id, term, tf, df, score. Nothing is ranked or cut."""
+    scored, _ = scored_terms(df, id_col, fields, head=head)
+    return scored.select(id_col, "term", "tf", "df", F.round("score", 6).alias("score"))
 
 
 def characteristic_terms(df: DataFrame, id_col: str, fields: list[str], k: int = 10) -> DataFrame:
-    """The k highest-scored terms of each record, ties by term: id, rank (from 1), term, tf, df, score."""
+    """A report: only the k highest-scored terms of each record, ties by term: id, rank (from 1), term, tf, df, score."""
     scored, records = scored_terms(df, id_col, fields)
     best = Window.partitionBy("record").orderBy(F.desc("score"), "term")
-    top = scored.withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    top = scored.drop(id_col).withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return top.join(records, "record").select(id_col, "rank", "term", "tf", "df", "score")
 
 
@@ -128,4 +144,4 @@ def shared_codes(df: DataFrame, id_col: str = "chunk_id", field: str = "retrieva
     """(id, term) of the codes that low to high records hold, of `field`, or of `otherwise` where that is null or empty."""
     chosen = df.select(id_col, F.coalesce(F.when(F.col(field) != "", F.col(field)), F.col(otherwise)).alias("_text"))
     scored, records = scored_terms(chosen, id_col, ["_text"], "code")
-    return scored.where(F.col("df").between(low, high)).join(records, "record").select(id_col, "term")
+    return scored.where(F.col("df").between(low, high)).select("record", "term").join(records, "record").select(id_col, "term")

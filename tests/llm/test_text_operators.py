@@ -1,13 +1,13 @@
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from folioscan.llm import markup, mixture, relevance, repetition, splitting
+from folioscan.llm import markup, mixture, queries, relevance, repetition, splitting
 
 MARKED = [
     "a<br/>b", "x <b>y", "<H1 class='t'>节</H1>", "a <!-- 注 --> b", "a &nbsp; b", "&#12288;", "&lt;em&gt;x&lt;/em&gt;", "## 标题", "甲**乙丙**丁", "~~删~~", "[甲](../a/b.md)", "![](pic/a.png)",
@@ -114,6 +114,28 @@ def test_relevance_against_brute_force(spark):
     assert relevance.shared_codes(df.limit(0)).count() == 0
 
 
+def test_all_terms_of_a_record_are_scored(spark, tmp_path):
+    texts = {"a": " ".join(f"wort{i}" for i in range(40)) + " 甲乙丙", "b": " ".join(f"wort{i}" for i in range(0, 40, 3)), "c": None}
+    rows = [(k, t, "wort1" if k == "b" else None) for k, t in texts.items()]
+    spark.createDataFrame(rows, "chunk_id string, retrieval_text string, section_title string").write.parquet(str(tmp_path / "chunks.parquet"))
+    records = {k: relevance.words("\n".join(v for v in (t, s) if v)) for k, t, s in rows}
+    df_ = Counter(t for ts in records.values() for t in set(ts))
+    mean = np.mean([len(ts) for ts in records.values()])
+    want = {}
+    for k, ts in records.items():
+        for t, tf in Counter(ts).items():
+            want[k, t] = (tf, df_[t], round(float(np.log1p((3 - df_[t] + 0.5) / (df_[t] + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(ts) / mean))), 6))
+    found = queries.p6_terms(spark, str(tmp_path)).collect()
+    assert len(found) == len(want) == 57
+    for head in (None, 0, 5, 14):  # whichever frequencies are broadcast
+        rows_ = found if head is None else relevance.record_scores(spark.read.parquet(str(tmp_path / "chunks.parquet")), "chunk_id", ["retrieval_text", "section_title"], head).collect()
+        got = {(r.chunk_id, r.term): (r.tf, r.df, r.score) for r in rows_}
+        assert len(rows_) == len(got) and got.keys() == want.keys()
+        assert all(got[k][:2] == want[k][:2] and got[k][2] == pytest.approx(want[k][2], abs=2e-6) for k in want)
+    top = queries.p6_top_terms(spark, str(tmp_path)).collect()
+    assert Counter(r.chunk_id for r in top) == {"a": 10, "b": 10}
+
+
 def brute_share(text, width=20):
     bare = re.sub("[ \t\n\r\u00a0\u2000-\u200a\u202f\u3000]+", "", text)
     seen, again = set(), 0
