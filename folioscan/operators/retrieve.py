@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioscan.functions import rules
 from folioscan.functions.text import matched_terms, normalize
 from folioscan.operators.bm25 import Bm25Index
-from folioscan.operators.recall import DOC_K, DOC_PREFIX, DOMAINS_MEET, all_wanted, document_heads, match_terms, own_terms, recall_documents, signal_weights
+from folioscan.operators.recall import DOC_K, DOC_PREFIX, DOMAINS_MEET, all_wanted, match_terms, own_terms, recall_documents, signal_weights
 from folioscan.session import materialize
 
 BM25_K, TOP_K = 30, 15
@@ -61,23 +61,28 @@ def keyword_search(chunks: DataFrame, queries: DataFrame, restrict: DataFrame, m
 
     queries: query, text, domain, k (at most `most`), signals. Result: query, ord, score, rank; ties go by ord. Terms
     of all queries are matched against each chunk once; queries meet chunks by term and document. A query without
-    documents in `restrict` finds nothing.
+    documents in `restrict` is searched over all chunks that its domain meets.
     """
     asked = queries.select("query", F.col("domain").alias("asked"), F.col("signals").alias("s"))
     wanted = materialize(signal_weights(asked, "query"), "wanted")
     own = own_terms(chunks.sparkSession)
     found = match_terms(chunks.select("ord", "text"), all_wanted(wanted, own), "ord")
     held = materialize(found.join(chunks.select("ord", "doc_id", "domain"), "ord"), "held")
-    by_terms = held.join(wanted.join(restrict, "query"), ["kind", "term", "doc_id"]).where(DOMAINS_MEET).groupBy("query", "asked", "ord").agg(F.sum("weight").alias("gain"))
+    bound = restrict.select("query").distinct()
+    within = held.join(wanted.join(restrict, "query"), ["kind", "term", "doc_id"]).select("query", "asked", "ord", "domain", "weight")
+    anywhere = held.join(wanted.join(bound, "query", "left_anti"), ["kind", "term"]).select("query", "asked", "ord", "domain", "weight")
+    by_terms = within.unionByName(anywhere).where(DOMAINS_MEET).groupBy("query", "asked", "ord").agg(F.sum("weight").alias("gain"))
     bonus = materialize(
         held.where("kind = 'plain'").join(F.broadcast(own), "term").where(DOMAINS_MEET)
         .groupBy("asked", "doc_id", "ord").agg((F.count("*") * rules.DOMAIN_WEIGHT).alias("bonus")), "bonus",
     )
-    # chunks with nothing but a bonus: the best of each document are enough
+    # chunks with nothing but a bonus: the best of each document are enough, and of all where no document is asked for
     leading = Window.partitionBy("asked", "doc_id").orderBy(F.desc("bonus"), "ord")
-    fronts = bonus.withColumn("n", F.row_number().over(leading)).where(F.col("n") <= most).select("asked", "doc_id", "ord")
+    fronts = bonus.withColumn("n", F.row_number().over(leading)).where(F.col("n") <= most).select("asked", "doc_id", "ord", "bonus")
+    first = fronts.withColumn("n", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("bonus"), "ord"))).where(F.col("n") <= most)
     by_bonus = asked.select("query", "asked").join(restrict, "query").join(fronts, ["asked", "doc_id"]).select("query", "asked", "ord", F.lit(0.0).alias("gain"))
-    gains = by_terms.unionByName(by_bonus).groupBy("query", "asked", "ord").agg(F.sum("gain").alias("gain"))
+    by_any_bonus = asked.select("query", "asked").join(bound, "query", "left_anti").join(first, "asked").select("query", "asked", "ord", F.lit(0.0).alias("gain"))
+    gains = by_terms.unionByName(by_bonus).unionByName(by_any_bonus).groupBy("query", "asked", "ord").agg(F.sum("gain").alias("gain"))
     scored = gains.join(bonus.select("asked", "ord", "bonus"), ["asked", "ord"], "left").join(queries.select("query", "k"), "query")
     scored = scored.select("query", "ord", "k", F.round(F.col("gain") + F.coalesce("bonus", F.lit(0.0)), 6).alias("score")).where("score > 0")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "ord")
@@ -90,22 +95,17 @@ def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K,
     Hits of BM25 and of keywords, for the question and for each of its options, gain for clauses, numbers
     and dates that they contain. Of the hits of one chunk the best stays, of equal ones the first in order of query, search and
     rank, but it keeps the place of the first; of chunks with equal first 120 characters the best stays.
-    A question without candidate documents is searched by BM25 over all chunks, and by keywords over its domain.
+    A question without candidate documents is searched over all chunks that its domain meets.
     """
     chunks = materialize(chunks, "chunks")
     questions = materialize(distinct_questions(questions), "questions")
     index = index or Bm25Index.build(chunks).kept()
     signals = rules.extract_signals(F.col("text"), F.col("domain"))
     queries = materialize(question_texts(questions).withColumn("signals", signals), "queries")
-    documents = document_heads(chunks)
     restrict = queries.select("qid", "query").join(candidate_documents(questions, chunks, doc_k), "qid").select("query", "doc_id")
     restrict = materialize(restrict, "restrict")
     lexical = index.search(queries.select("query", "text", "domain", "k"), restrict, "k").select("query", "ord", "score", "rank", F.lit(0).alias("search"))
-    free = queries.join(restrict.select("query").distinct(), "query", "left_anti")
-    anywhere = F.when(F.col("domain") == "", F.array(F.lit("*any"))).otherwise(F.array("domain", F.lit("")))
-    everything = documents.select("doc_id", "ord", F.explode(F.array("domain", F.lit("*any"))).alias("meeting"))
-    unbound = everything.join(free.select("query", F.explode(anywhere).alias("meeting")), "meeting").select("query", "doc_id")
-    keyword = keyword_search(chunks, queries, restrict.unionByName(unbound)).select("query", "ord", "score", "rank", F.lit(1).alias("search"))
+    keyword = keyword_search(chunks, queries, restrict).select("query", "ord", "score", "rank", F.lit(1).alias("search"))
     hits = lexical.unionByName(keyword).join(queries.select("query", "qid", "place", "option", "query_source", "signals"), "query")
     hits = hits.join(chunks.select("ord", "chunk_id", "doc_id", F.col("domain").alias("chunk_domain"), "text", "original_text"), "ord")
     gain = lambda name, most, weight: F.least(F.size(matched_terms(F.col("text"), F.col("signals")[name])), F.lit(most)) * weight

@@ -236,7 +236,7 @@ def keyword_topk(spark, d):
     chunks, asked = materialize(corpus(spark, d), "chunks"), questions(spark, d)
     texts = materialize(retrieve.question_texts(asked).withColumn("signals", R.extract_signals(F.col("text"), F.col("domain"))), "queries")
     candidates = retrieve.candidate_documents(asked, chunks)
-    restrict = texts.select("qid", "query").join(candidates, "qid").select("query", "doc_id")
+    restrict = materialize(texts.select("qid", "query").join(candidates, "qid").select("query", "doc_id"), "restrict")
     hits = retrieve.keyword_search(chunks, texts, restrict)
     return hits.select("query.qid", F.col("query.place").cast("long").alias("place"), "ord", "score", F.col("rank").cast("long").alias("rank"))
 

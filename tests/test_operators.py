@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from folioscan.functions import rules
 from folioscan.operators import chunking, evaluate, recall, retrieve, structure
 from folioscan.operators.bm25 import Bm25Index
 from folioscan.sources import files, json_tables, sinks
@@ -139,6 +140,29 @@ def test_retrieval_of_ties_and_gaps(spark):
     assert retrieve.fused_evidence(chunks.limit(0), questions).count() == 0
 
 
+def test_questions_that_recall_no_document_search_all_chunks(spark):
+    late = "无" * 820 + "产能增长"  # recall reads the first 800 characters
+    chunks = chunk_table(spark, [
+        (0, "c0", "d0", "research", "丁" + late), (1, "c1", "d0", "insurance", "别的"), (2, "c2", "d1", "", "甲" + late), (3, "c3", "d2", "insurance", "乙" + late), (4, "c4", "d3", "research", "丙" + late),
+        (5, "c5", "d4", "insurance", "保单"),
+    ])
+    asked = retrieve.distinct_questions(spark.createDataFrame([
+        ("q1", "research", "B", "产能增长", None, "mcq", None, []), ("q2", "research", "A", "产能增长", None, "mcq", None, ["d1"]), ("q3", "research", "A", "产能增长", None, "mcq", None, [None]),
+    ], QUESTION))
+    candidates = retrieve.candidate_documents(asked, chunks)
+    assert {tuple(r) for r in candidates.collect()} == {("q2", "d1")}
+    texts = retrieve.question_texts(asked).withColumn("signals", rules.extract_signals(F.col("text"), F.col("domain")))
+    restrict = texts.select("qid", "query").join(candidates, "qid").select("query", "doc_id")
+    found = {(r["query"].qid, r.ord) for r in retrieve.keyword_search(chunks, texts, restrict).collect()}
+    assert found == {("q1", 0), ("q1", 2), ("q1", 4), ("q2", 2), ("q3", 0), ("q3", 2), ("q3", 4)}
+    bonus = texts.where("qid = 'q1'").withColumn("domain", F.lit("insurance")).withColumn("signals", rules.extract_signals(F.lit("zz"), F.lit("")))
+    own = [r.term for r in recall.own_terms(spark).where("asked = 'insurance'").collect()]
+    fillers = chunk_table(spark, [(i, f"b{i}", f"e{i % 3}", "insurance", own[0] + (own[1] if i == 7 else "")) for i in range(40)])
+    ranked = sorted((r.rank, r.ord) for r in retrieve.keyword_search(fillers, bonus, restrict.limit(0)).collect())
+    assert [o for _, o in ranked] == [7, *range(7), *range(8, 30)]
+    assert {r.chunk_id for r in retrieve.fused_evidence(chunks, asked).where("qid = 'q1'").collect()} == {"c0", "c2", "c4"}
+
+
 def test_scores(spark):
     rows = spark.createDataFrame([(1.0, 0), (1.0, 5_000_000), (0.5, 1_000_000), (1.0, 9_000_000)], "a double, t long")
     assert [round(r[0], 6) for r in rows.select(evaluate.final_score(F.col("a"), F.col("t"))).collect()] == [70.0, 70.0, 47.0, 70.0]
