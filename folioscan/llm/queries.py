@@ -41,11 +41,13 @@ def p3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p4_pieces(spark, sf_dir).where("piece = 1").select("chunk_id")
+    """By the length of the squeezed text."""
+    return splitting.split_oversized(table(spark, sf_dir, "chunks"), keep=["doc_id", "title_path"]).where("piece = 1").select("chunk_id")
 
 
 def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splitting.split_oversized(table(spark, sf_dir, "chunks"), keep=["doc_id", "title_path"])
+    """By the length of the text as stored."""
+    return splitting.split_oversized(table(spark, sf_dir, "chunks"), keep=["doc_id", "title_path"], stored=True)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

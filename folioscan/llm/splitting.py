@@ -24,8 +24,9 @@ MAX_CHARS = 1400
 OVERLAP = 120
 
 _RUN = re.compile(f"[{WHITE_SPACE}]+")
-#: Ends of atomic segments, strongest first: 5 paragraph or heading, 4 line, 3 sentence, 2 clause, 1 word.
-_END = re.compile(r"(?P<s4>\n)|(?P<s3>[。！？；!?;]+[”’」』）)\"']*|\.(?= ))|(?P<s2>[，、：,:]+)|(?P<s1> )")
+#: Ends of atomic segments, strongest first: 5 paragraph (blank line) or heading, 4 line, 3 sentence, 2 clause, 1 word; a run of white space is told apart by its line breaks.
+_END = re.compile(f"(?P<s1>[{WHITE_SPACE}]+)|(?P<s3>[。！？；!?;]+[”’」』）)\"']*|\\.(?=[{WHITE_SPACE}]))|(?P<s2>[，、：,:]+)")
+_BREAK = re.compile(r"\r\n|\n|\r")
 _HEADING = re.compile(r"第[一二三四五六七八九十百零〇0-9]+[章节条]|[一二三四五六七八九十]+、|（[一二三四五六七八九十]+）|#{1,6} ")
 
 
@@ -42,12 +43,17 @@ def squeezed_length(text: Column) -> Column:
 def segments(text: str, room: int) -> list[tuple[int, int, int]]:
     """Atomic segments (start, end, strength of the boundary at the end), none longer than room."""
     out, start = [], 0
-    ends = [(m.end(), int(m.lastgroup[1])) for m in _END.finditer(text)]
+    ends = []
+    for m in _END.finditer(text):
+        breaks = list(_BREAK.finditer(m[0])) if m.lastgroup == "s1" else []
+        if breaks:  # indentation stays with its line
+            strength = 5 if len(breaks) > 1 or _HEADING.match(text, m.end()) else 4
+            ends.append((m.start() + breaks[-1].end(), strength))
+        else:
+            ends.append((m.end(), int(m.lastgroup[1])))
     if not ends or ends[-1][0] < len(text):
         ends.append((len(text), 5))
     for end, strength in ends:
-        if strength == 4 and _HEADING.match(text, end):
-            strength = 5
         while end - start > room:  # no boundary within: cut between characters
             out.append((start, start + room, 0))
             start += room
@@ -58,7 +64,7 @@ def segments(text: str, room: int) -> list[tuple[int, int, int]]:
 
 
 def pieces(text: str, limit: int = MAX_CHARS, overlap: int = OVERLAP) -> list[tuple[int, int]]:
-    """(start, end) of consecutive pieces of a squeezed text, each at most limit - overlap characters (one piece: limit)."""
+    """(start, end) of consecutive pieces of a text as it stands, each at most limit - overlap characters (one piece: limit)."""
     if len(text) <= limit:
         return [(0, len(text))] if text else []
     room = limit - overlap
@@ -93,11 +99,11 @@ def pieces(text: str, limit: int = MAX_CHARS, overlap: int = OVERLAP) -> list[tu
 
 
 def split_oversized(df: DataFrame, id_col: str = "chunk_id", text: str = "text", keep: list[str] = (),
-                    limit: int = MAX_CHARS, overlap: int = OVERLAP) -> DataFrame:
-    """One row per piece of every record whose squeezed text is longer than limit.
+                    limit: int = MAX_CHARS, overlap: int = OVERLAP, stored: bool = False) -> DataFrame:
+    """One row per piece of every record whose squeezed text, or with `stored` whose text as stored, is longer than limit.
 
-    id, `keep`, piece (from 0), n_pieces, piece_text, core_start and core_end (the piece without its overlap, in the
-    squeezed text). A piece after the first starts with the last `overlap` characters (or all) of the one before.
+    id, `keep`, piece (from 0), n_pieces, piece_text, core_start and core_end (the piece without its overlap).
+    Boundaries are looked for in the stored text, and pieces are cut from it, white space and all. A piece after the first starts with the last `overlap` characters (or all) of the one before.
     Null, empty and short texts have no rows. Rows with one id are one record.
     """
     if not 0 <= overlap * 2 < limit:
@@ -114,10 +120,9 @@ def split_oversized(df: DataFrame, id_col: str = "chunk_id", text: str = "text",
             rows: list[tuple] = []
             of: list[int] = []
             for i, raw in enumerate(batch.column(text).to_pylist()):
-                whole = squeezed(raw)
-                cut, previous = pieces(whole, limit, overlap), ""
+                cut, previous = pieces(raw, limit, overlap), ""
                 for k, (a, b) in enumerate(cut):
-                    previous = (previous[-overlap:] if overlap and k else "") + whole[a:b]
+                    previous = (previous[-overlap:] if overlap and k else "") + raw[a:b]
                     rows.append((k, len(cut), previous, a, b))
                     of.append(i)
             made = [pa.array([r[i] for r in rows], pa.string() if i == 2 else pa.int32()) for i in range(5)]
@@ -125,6 +130,8 @@ def split_oversized(df: DataFrame, id_col: str = "chunk_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in [id_col, *keep]), *made], [id_col, *keep, *outs])
 
     # a text that is short as it stands needs no closer look
-    long_texts = df.select(id_col, *keep, text).where(F.length(text) > limit).where(squeezed_length(F.col(text)) > limit)
+    long_texts = df.select(id_col, *keep, text).where(F.length(text) > limit)
+    if not stored:
+        long_texts = long_texts.where(squeezed_length(F.col(text)) > limit)
     one = long_texts.groupBy(id_col).agg(*(F.first(c).alias(c) for c in [*keep, text]))
     return one.mapInArrow(run, schema)

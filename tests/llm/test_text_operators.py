@@ -87,6 +87,23 @@ def test_split_rows(spark):
     assert splitting.split_oversized(df.limit(0)).count() == 0
 
 
+def test_pieces_keep_the_stored_text(spark, tmp_path):
+    block = ("甲" * 95 + "\n    ") * 9
+    paragraphs = block[:-5] + "\n \r\n" + block + "止"
+    spaced = ("字" + " " * 10) * 200
+    rows = [("p", paragraphs), ("s", spaced), ("s", spaced), ("t", "短" + " " * 10), ("n", None), ("e", "")]
+    spark.createDataFrame([(k, "d", ["t"], t) for k, t in rows], "chunk_id string, doc_id string, title_path array<string>, text string").write.parquet(str(tmp_path / "chunks.parquet"))
+    found = queries.p4_pieces(spark, str(tmp_path)).orderBy("chunk_id", "piece").collect()
+    assert {r.chunk_id for r in found} == {"p", "s"}
+    for k, text in (("p", paragraphs), ("s", spaced)):
+        own = [r for r in found if r.chunk_id == k]
+        assert "".join(text[r.core_start : r.core_end] for r in own) == text
+        assert all(r.piece_text.endswith(text[r.core_start : r.core_end]) and len(r.piece_text) <= 1400 for r in own)
+    p = [r for r in found if r.chunk_id == "p"]
+    assert [r.core_end for r in p] == [paragraphs.index("\r\n") + 2, len(paragraphs)]  # at the blank line
+    assert {r.chunk_id for r in queries.p4_found(spark, str(tmp_path)).collect()} == {"p"}
+
+
 def test_codes():
     assert relevance.codes("见DG2554与WCPZ-6463，A-1234，AB-12-34，ABCDEFG1234，ab1234") == ["DG2554", "WCPZ-6463", "AB1234"]
 
