@@ -63,8 +63,7 @@ EXTRACTORS = {"code": codes, "word": words}
 def record_terms(df: DataFrame, id_col: str, fields: list[str], terms: str) -> DataFrame:
     """(id, length, terms, tfs): one row per row of df, of its text in compatibility normal form.
 
-    length is the number of its terms; a row without terms has empty arrays. Terms longer than 64 characters
-    are no terms.
+    length is the number of its terms, however long; a row without terms has empty arrays.
     """
     extract = EXTRACTORS[terms]
 
@@ -77,7 +76,7 @@ def record_terms(df: DataFrame, id_col: str, fields: list[str], terms: str) -> D
                 text = "\n".join(v for v in values if v)
                 if not text.isascii():
                     text = unicodedata.normalize("NFKC", text)
-                found = Counter(t for t in extract(text) if len(t) <= 64)
+                found = Counter(extract(text))
                 lengths.append(found.total())
                 names += found.keys()
                 tfs += found.values()

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from folioscan.llm import markup, mixture, queries, relevance, repetition, splitting
 
@@ -153,6 +154,15 @@ def test_all_terms_of_a_record_are_scored(spark, tmp_path):
     assert Counter(r.chunk_id for r in top) == {"a": 10, "b": 10}
 
 
+def test_long_terms_are_terms(spark):
+    code, word = "AB" + "1" * 70, "ก" * 200
+    df = spark.createDataFrame([("a", f"见{code}，{word}"), ("b", f"{code.lower()} x"), ("c", word)], "chunk_id string, retrieval_text string").withColumn("text", F.lit(None).cast("string"))
+    assert {tuple(r) for r in relevance.shared_codes(df).collect()} == {("a", code), ("b", code)}
+    for head in (0, 50):
+        rows = relevance.record_scores(df, "chunk_id", ["retrieval_text"], head).collect()
+        assert {(r.chunk_id, r.term): r.df for r in rows} == {("a", "见"): 1, ("a", code): 2, ("a", word): 2, ("b", code): 2, ("b", "x"): 1, ("c", word): 2}
+
+
 def brute_share(text, width=20):
     bare = re.sub("[ \t\n\r\u00a0\u2000-\u200a\u202f\u3000]+", "", text)
     seen, again = set(), 0
