@@ -25,10 +25,15 @@ def token_windows(traces: DataFrame, width: str = "1 hour", late: str = "7 days"
     )
 
 
-def stream_traces(spark: SparkSession, path: str) -> DataFrame:
-    """A stream of the Parquet files of a folder, or of one file."""
+def stream_traces(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
+    """A stream of the Parquet files of a folder, or of one file; at most `files` of them in a trigger, or all that are there.
+
+    A bound makes what counts as late depend on the order of the files.
+    """
     held = spark.read.parquet(path)
-    stream = spark.readStream.schema(held.schema).option("maxFilesPerTrigger", 8)
+    stream = spark.readStream.schema(held.schema)
+    if files:
+        stream = stream.option("maxFilesPerTrigger", files)
     folder, _, name = path.rstrip("/").rpartition("/")
     files = held.inputFiles()
     if len(files) == 1 and files[0].endswith("/" + name):  # a stream reads folders
@@ -37,7 +42,7 @@ def stream_traces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_token_windows(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """All windows of what lies in `path`, by a stream that ends once it has read it; state and progress lie in the shared folder."""
+    """All windows of what lies in `path`, by a stream that ends once it has read it, in one trigger, so that no row is late; state and progress lie in the shared folder."""
     import uuid
 
     folder = f"{shared_folder(spark)}/folioscan/stream-{uuid.uuid4().hex}"

@@ -220,3 +220,13 @@ def test_stream_equals_batch(spark):
     path = "/root/testdata/sf0.001/traces.parquet"
     batch = {tuple(r) for r in token_windows(spark.read.parquet(path)).collect()}
     assert {tuple(r) for r in run_token_windows(spark, path, "t").collect()} == batch
+
+
+def test_stream_of_unordered_files_equals_batch(spark, tmp_path):
+    usage = "named_struct('input_tokens', 1L, 'output_tokens', 2L, 'total_tokens', 3L)"
+    for i, day in enumerate([*range(28, 10, -1), 2, 1, 3, 4]):  # files lie in the order of their times of writing
+        rows = spark.sql(f"SELECT {i}L AS trace_id, TIMESTAMP_NTZ '2026-01-{day:02d} 10:00:00' AS logged_at, 'research' AS domain, {usage} AS usage")
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "traces.parquet"))
+    path = str(tmp_path / "traces.parquet")
+    batch = {tuple(r) for r in token_windows(spark.read.parquet(path)).collect()}
+    assert len(batch) == 22 and {tuple(r) for r in run_token_windows(spark, path, "u").collect()} == batch
