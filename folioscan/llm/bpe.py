@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, islice
 
@@ -73,6 +74,7 @@ class Bpe:
         self.slot_ok = np.zeros(_SLOTS, dtype=bool)
         self.pair_memo: dict[int, bool] = {}
         self._forget()
+        self._forget_counted()
 
     def _halves(self, token: bytes, rank: int) -> tuple[int, int]:
         """The last two parts of a token under the merges that come before it."""
@@ -205,7 +207,8 @@ class Bpe:
                 token = shorter[last]
         return done
 
-    def _encode_group(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _matched(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, list[int]]]:
+        """Longest matches of all pieces, the piece of each, their number by piece, and the encodings of pieces that they are not."""
         flat = np.fromiter(chain.from_iterable(self.automaton.iter_long(_SEPARATOR.join([p.decode("latin-1") for p in pieces]))), dtype=np.int64)
         last, ids = flat[0::2], flat[1::2]
         sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
@@ -213,16 +216,29 @@ class Bpe:
         counts = np.bincount(owner, minlength=len(pieces))
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         failed = inner[~self.compatible(ids[inner], ids[inner + 1])] if len(inner) else inner
-        if not len(failed):
+        fixed: dict[int, list[int]] = {}
+        if len(failed):
+            first = np.cumsum(counts) - counts
+            bad, where = np.unique(owner[failed], return_index=True)
+            where = [*where.tolist(), len(failed)]
+            for k, piece in enumerate(bad.tolist()):
+                begin = int(first[piece])
+                matches = ids[begin : begin + int(counts[piece])].tolist()
+                fixed[piece] = self.backtrack(pieces[piece], matches, (failed[where[k] : where[k + 1]] - begin).tolist())
+        return ids, owner, counts, fixed
+
+    def _count_group(self, pieces: list[bytes]) -> np.ndarray:
+        _, _, counts, fixed = self._matched(pieces)
+        for piece, tokens in fixed.items():
+            counts[piece] = len(tokens)
+        return counts
+
+    def _encode_group(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids, owner, counts, fixed = self._matched(pieces)
+        if not fixed:
             return ids.astype(np.int32), counts
         first = np.cumsum(counts) - counts
-        bad, where = np.unique(owner[failed], return_index=True)
-        where = [*where.tolist(), len(failed)]
-        fixed = {}
-        for k, piece in enumerate(bad.tolist()):
-            begin = int(first[piece])
-            matches = ids[begin : begin + int(counts[piece])].tolist()
-            fixed[piece] = self.backtrack(pieces[piece], matches, (failed[where[k] : where[k + 1]] - begin).tolist())
+        bad = np.array(list(fixed), dtype=np.int64)
         new_counts = counts.copy()
         new_counts[bad] = [len(fixed[p]) for p in bad.tolist()]
         new_first = np.cumsum(new_counts) - new_counts
@@ -235,62 +251,79 @@ class Bpe:
             out[new_first[piece] : new_first[piece] + len(tokens)] = tokens
         return out, new_counts
 
-    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in a row, and how many each has."""
-        ids, counts, group, size = [], [], [], 0
+    @staticmethod
+    def _groups(pieces: list[bytes]) -> Iterator[list[bytes]]:
+        """The pieces in groups of about _PIECE_BYTES."""
+        group, size = [], 0
         for piece in pieces:
             group.append(piece)
             size += len(piece)
             if size >= _PIECE_BYTES:
-                a, b = self._encode_group(group)
-                ids.append(a)
-                counts.append(b)
+                yield group
                 group, size = [], 0
         if group:
-            a, b = self._encode_group(group)
-            ids.append(a)
-            counts.append(b)
-        if not ids:
+            yield group
+
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has."""
+        made = [self._encode_group(group) for group in self._groups(pieces)]
+        if not made:
             return np.empty(0, np.int32), np.empty(0, np.int64)
-        return np.concatenate(ids), np.concatenate(counts)
+        return np.concatenate([a for a, _ in made]), np.concatenate([b for _, b in made])
+
+    def count_pieces(self, pieces: list[bytes]) -> np.ndarray:
+        """How many tokens each piece has; its ids are not put together, and the matches of a group are dropped with it."""
+        return np.concatenate([np.empty(0, np.int64), *map(self._count_group, self._groups(pieces))])
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.known_ids: list[np.ndarray] = []
         self.known_counts = np.empty(0, np.int64)
 
-    def _pieces(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The number of each text's pieces, and the pieces of all texts as places in the known ones.
+    def _forget_counted(self) -> None:
+        self.counted: dict[str, int] = {}
+        self.counted_sizes = np.empty(0, np.int64)
 
-        Pieces met before keep their encoding; what is kept is dropped whenever it exceeds a fixed size.
-        """
-        if len(self.place) > _KNOWN_PIECES:
-            self._forget()
-        place, before = self.place, len(self.place)
+    @staticmethod
+    def _pieces(split: Callable[[str], list[str]], place: dict[str, int], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """The number of each text's pieces, the pieces of all texts as places in the known ones, and the new ones."""
+        before = len(place)
         codes: list[int] = []
         sizes = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
             if text:
-                found = self.split(text)
+                found = split(text)
                 sizes[i] = len(found)
                 codes += [place.setdefault(p, len(place)) for p in found]
-        if len(place) > before:
-            new = [p.encode("utf-8") for p in islice(reversed(place), len(place) - before)]
-            ids, counts = self.encode_pieces(new[::-1])
-            self.known_ids.append(ids)
-            self.known_counts = np.concatenate([self.known_counts, counts])
-        return sizes, np.array(codes, dtype=np.int64)
+        new = [p.encode("utf-8") for p in islice(reversed(place), len(place) - before)]
+        return sizes, np.array(codes, dtype=np.int64), new[::-1]
 
     def count(self, texts: list[str | None]) -> np.ndarray:
-        """Number of tokens of each text, 0 for null and empty texts."""
-        sizes, codes = self._pieces(texts)
-        total = np.concatenate([[0], np.cumsum(self.known_counts[codes])])
+        """Number of tokens of each text, 0 for null and empty texts.
+
+        Of pieces met before only this number is kept; what is kept is dropped whenever it exceeds a fixed size.
+        """
+        if len(self.counted) > _KNOWN_PIECES:
+            self._forget_counted()
+        sizes, codes, new = self._pieces(self.split, self.counted, texts)
+        if new:
+            self.counted_sizes = np.concatenate([self.counted_sizes, self.count_pieces(new)])
+        total = np.concatenate([[0], np.cumsum(self.counted_sizes[codes])])
         ends = np.cumsum(sizes)
         return total[ends] - total[ends - sizes]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the offset where each text's ids begin (one more at the end)."""
-        sizes, codes = self._pieces(texts)
+        """Ids of all texts in a row, and the offset where each text's ids begin (one more at the end).
+
+        Pieces met before keep their encoding; what is kept is dropped whenever it exceeds a fixed size.
+        """
+        if len(self.place) > _KNOWN_PIECES:
+            self._forget()
+        sizes, codes, new = self._pieces(self.split, self.place, texts)
+        if new:
+            ids, found = self.encode_pieces(new)
+            self.known_ids.append(ids)
+            self.known_counts = np.concatenate([self.known_counts, found])
         if len(self.known_ids) > 1:
             self.known_ids = [np.concatenate(self.known_ids)]
         counts = self.known_counts

@@ -86,3 +86,12 @@ def test_corpus_budget_counts_copies_once(spark):
     index = spark.sql("select 'd1' doc_id, 'Old' domain, timestamp_ntz'2026-01-01' indexed_at union all select 'd1', 'Insurance', timestamp_ntz'2026-02-01' union all select 'd1', null, timestamp_ntz'2026-03-01'")
     got = {(r.collection, r.source, r.lang, r.domain): r.n_docs for r in tokens.corpus_budget(docs, chunks, index).where("grouping_level = 0").collect()}
     assert got == {("documents", "src_a", "en", "insurance"): 1, ("documents", "unknown", "und", "unknown"): 1, ("chunks", "chunks", "zh", "insurance"): 1, ("chunks", "chunks", "und", "unknown"): 1}
+
+
+def test_counts_keep_no_ids(model):
+    fresh = bpe.load.__wrapped__(bpe.tokenizer_file("byte_bpe_50k"))
+    texts = [None, "", " ", "甲乙丙丁，戊己庚辛。", "the 12 cats'll  \n\n go", "aaaaaaaaaaaaaaaaaaaaaaab" * 50, "é" * 70, "the 12 cats"]
+    want = [len(ids) for ids in rows(model, texts)]
+    assert fresh.count(texts).tolist() == want and fresh.count(texts[::-1]).tolist() == want[::-1]
+    assert not fresh.known_ids and not fresh.place
+    assert rows(fresh, texts) == rows(model, texts) and fresh.count(texts).tolist() == want
