@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 4 << 20
 
@@ -23,3 +25,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
                 start, held = i, 0
             held += size
         yield batch.slice(start)
+
+
+def apart(id_col: str) -> Column:
+    """A number of its own for each row without id, and null for others: grouped by id and this, rows without id stay apart."""
+    return F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())

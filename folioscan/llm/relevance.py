@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscan.llm.batches import slices
+from folioscan.llm.batches import apart, slices
 from folioscan.session import materialize
 
 K1, B = 1.5, 0.75
@@ -96,16 +96,16 @@ def scored_terms(df: DataFrame, id_col: str = "chunk_id", fields: list[str] = ("
     """(scored, records): record, id, term, tf, df and score of every term of every record; and record, id.
 
     Null and empty fields add no terms, and a record without terms still counts in the collection. Rows of one id are
-    one record (they are taken to be equal). Records are numbered, so that postings can carry a number for the id. The
+    one record (they are taken to be equal), each row without id is one of its own. Records are numbered, so that postings can carry a number for the id. The
     number of records and their average length are one row, which is broadcast. Document frequencies are partial
     counts first; those of the `head` most frequent terms are broadcast, so that most postings are scored
     where they lie, and the postings of all other terms meet theirs in a shuffle by term.
     """
     if terms == "code":  # few terms: copies are dropped after them
-        rows = record_terms(df, id_col, list(fields), terms)
-        one = rows.groupBy(id_col).agg(*(F.first(c).alias(c) for c in ("length", "terms", "tfs")))
+        rows = record_terms(df, id_col, list(fields), terms).withColumn("_apart", apart(id_col))
+        one = rows.groupBy(id_col, "_apart").agg(*(F.first(c).alias(c) for c in ("length", "terms", "tfs"))).drop("_apart")
     else:
-        one = record_terms(df.groupBy(id_col).agg(*(F.first(c).alias(c) for c in fields)), id_col, list(fields), terms)
+        one = record_terms(df.withColumn("_apart", apart(id_col)).groupBy(id_col, "_apart").agg(*(F.first(c).alias(c) for c in fields)), id_col, list(fields), terms)
     records = materialize(one.withColumn("record", F.monotonically_increasing_id()), "records")
     collection = records.agg(F.count("*").alias("n"), F.avg("length").alias("mean"))
     posted = records.select("record", id_col, "length", F.explode(F.arrays_zip("terms", "tfs")).alias("p")).select(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscan.llm.batches import slices
+from folioscan.llm.batches import apart, slices
 from folioscan.llm.unify import WHITE_SPACE
 
 MAX_CHARS = 1400
@@ -104,7 +104,7 @@ def split_oversized(df: DataFrame, id_col: str = "chunk_id", text: str = "text",
 
     id, `keep`, piece (from 0), n_pieces, piece_text, core_start and core_end (the piece without its overlap).
     Boundaries are looked for in the stored text, and pieces are cut from it, white space and all. A piece after the first starts with the last `overlap` characters (or all) of the one before.
-    Null, empty and short texts have no rows. Rows with one id are one record.
+    Null, empty and short texts have no rows. Rows with one id are one record; each row without id is one of its own.
     """
     if not 0 <= overlap * 2 < limit:
         raise ValueError("limit must exceed twice the overlap, and overlap must not be negative")
@@ -133,5 +133,5 @@ def split_oversized(df: DataFrame, id_col: str = "chunk_id", text: str = "text",
     long_texts = df.select(id_col, *keep, text).where(F.length(text) > limit)
     if not stored:
         long_texts = long_texts.where(squeezed_length(F.col(text)) > limit)
-    one = long_texts.groupBy(id_col).agg(*(F.first(c).alias(c) for c in [*keep, text]))
+    one = long_texts.withColumn("_apart", apart(id_col)).groupBy(id_col, "_apart").agg(*(F.first(c).alias(c) for c in [*keep, text]))
     return one.mapInArrow(run, schema)

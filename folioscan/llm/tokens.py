@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioscan.llm import bpe
-from folioscan.llm.batches import slices
+from folioscan.llm.batches import apart, slices
 
 DEFAULT_TOKENIZER = "byte_bpe_50k"
 
@@ -118,7 +118,7 @@ def corpus_budget(documents: DataFrame, chunks: DataFrame, index: DataFrame, voc
     """Token totals by collection and every subset of source, language and domain.
 
     Documents carry their own source and language, and their index document's last known domain. Chunks (one
-    per chunk_id) have source 'chunks', their document's domain, and language zh where at least a fifth of the characters are
+    per chunk_id, and each row without one) have source 'chunks', their document's domain, and language zh where at least a fifth of the characters are
     Han characters, else und. Sums are formed before the join with domains, so that a document with very many
     rows arrives there as few.
     """
@@ -134,14 +134,14 @@ def corpus_budget(documents: DataFrame, chunks: DataFrame, index: DataFrame, voc
     han = F.length(F.regexp_replace("text", "[^\\x{4e00}-\\x{9fff}]+", ""))
     parts = token_counts(
         chunks.select(
-            "chunk_id", F.lit("chunks").alias("collection"), F.lit("chunks").alias("source"),
+            "chunk_id", apart("chunk_id").alias("apart"), F.lit("chunks").alias("collection"), F.lit("chunks").alias("source"),
             F.when(han * 5 >= F.greatest(F.length("text"), F.lit(1)), "zh").otherwise("und").alias("lang"),
             F.col("doc_id").alias("of"), text_size, "text",
         ),
         vocabulary=vocabulary,
     )
     parts = (
-        parts.groupBy("chunk_id").agg(*(F.max(c).alias(c) for c in parts.columns if c != "chunk_id"))
+        parts.groupBy("chunk_id", "apart").agg(*(F.max(c).alias(c) for c in parts.columns if c not in ("chunk_id", "apart")))
         .groupBy("collection", "source", "lang", "of").agg(*sums)
     )
     domains = latest_domains(index).withColumnRenamed("doc_id", "of")

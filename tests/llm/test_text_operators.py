@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from folioscan.llm import markup, mixture, queries, relevance, repetition, splitting
+from folioscan.llm import markup, mixture, queries, relevance, repetition, splitting, tokens
 
 MARKED = [
     "a<br/>b", "x <b>y", "<H1 class='t'>节</H1>", "a <!-- 注 --> b", "a &nbsp; b", "&#12288;", "&lt;em&gt;x&lt;/em&gt;", "## 标题", "甲**乙丙**丁", "~~删~~", "[甲](../a/b.md)", "![](pic/a.png)",
@@ -163,6 +163,22 @@ def test_long_terms_are_terms(spark):
         assert {(r.chunk_id, r.term): r.df for r in rows} == {("a", "见"): 1, ("a", code): 2, ("a", word): 2, ("b", code): 2, ("b", "x"): 1, ("c", word): 2}
 
 
+def test_rows_without_id_stay_apart(spark):
+    texts = ["AB1234 eins", "AB1234 zwei drei", "vier"]
+    df = spark.createDataFrame([(None, t) for t in texts] + [("a", "CD1234"), ("a", "CD1234")], "chunk_id string, retrieval_text string").withColumn("text", F.col("retrieval_text"))
+    assert [tuple(r) for r in relevance.shared_codes(df).collect()] == [(None, "AB1234")] * 2
+    rows = relevance.record_scores(df, "chunk_id", ["retrieval_text"]).collect()
+    assert sorted(r.term for r in rows) == ["AB1234", "AB1234", "CD1234", "drei", "eins", "vier", "zwei"]
+    assert sorted(r.term for r in relevance.characteristic_terms(df, "chunk_id", ["retrieval_text"]).collect()) == sorted(r.term for r in rows)
+    pieces = splitting.split_oversized(spark.createDataFrame([(None, "字" * 1401), (None, "词" * 1401), ("a", "句" * 1401), ("a", "句" * 1401)], "chunk_id string, text string")).collect()
+    assert Counter(r.piece_text[0] for r in pieces if r.piece == 0) == {"字": 1, "词": 1, "句": 1}
+    chunks = df.withColumn("doc_id", F.lit("d"))
+    documents = spark.createDataFrame([], "text string, source string, lang string, index_doc_id string")
+    index = spark.createDataFrame([], "doc_id string, domain string, indexed_at timestamp_ntz")
+    total = tokens.corpus_budget(documents, chunks, index).where("grouping_level = 7").first()
+    assert total.n_docs == 4 and total.n_chars == sum(map(len, texts)) + 6
+
+
 def brute_share(text, width=20):
     bare = re.sub("[ \t\n\r\u00a0\u2000-\u200a\u202f\u3000]+", "", text)
     seen, again = set(), 0
