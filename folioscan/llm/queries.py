@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscan.llm import markup, mixture, neardup, relevance, repetition, splitting, tokens, unify
+from folioscan.llm.batches import one_per_id
 from folioscan.session import table
 
 
@@ -55,7 +56,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = table(spark, sf_dir, "chunks").select("chunk_id", "text", "retrieval_text")
+    """One row per chunk."""
+    chunks = one_per_id(table(spark, sf_dir, "chunks"), "chunk_id", ["text", "retrieval_text"])
     return unify.unify(chunks, ["text", "retrieval_text"]).select("chunk_id", "text_form", "retrieval_text_form")
 
 

@@ -23,16 +23,17 @@ from folioscan.llm.pairs import pairs_within
 from folioscan.session import materialize
 
 # White space, characters that are not displayed, and letters shaped like a Latin letter.
-WHITE_SPACE = " \t\n\r  -  　"
+WHITE_SPACE = " \t\n\r\u00a0\u2000-\u200a\u202f\u3000"
 INVISIBLE = (
-    "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮"
-    "⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff"
+    "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e"
+    "\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8"
+    "\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
 )
 LOOK_ALIKES = {
-    "АВЕКМНОРСТУХІЈЅԌԚԜ": "ABEKMHOPCTYXIJSGQW",
-    "аеорсухіјѕһԁԛԝѵӏ": "aeopcyxijshdqwvl",
-    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ": "ABEZHIKMNOPTYX",
-    "αγικνορυχ": "ayikvopux",
+    "АВЕКМНОРСТУХІЈЅԌԚԜӀѴҮ": "ABEKMHOPCTYXIJSGQWIVY",
+    "аеорсухіјѕһԁԛԝѵӏү": "aeopcyxijshdqwvly",
+    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ": "ABEZHIKMNOPTYXCJ",
+    "αγικνορυχϲϳ": "ayikvopuxcj",
 }
 
 _DROP = re.compile(f"[{WHITE_SPACE}{INVISIBLE}]+")
@@ -45,6 +46,8 @@ _AS_LATIN = str.maketrans("".join(LOOK_ALIKES), "".join(LOOK_ALIKES.values()))
 def common_form(text: str, fold_case: bool = False, keep_spaces: bool = False) -> str:
     """The common form of one text; keep_spaces leaves one space for each inner run of white space."""
     out = _UNSEEN.sub("", text) if keep_spaces else _DROP.sub("", text)
+    if _FOREIGN.search(out):  # before the normal form too, which takes some look-alikes for the letters that they stand for
+        out = out.translate(_AS_LATIN)
     out = unicodedata.normalize("NFKC", out)
     if _FOREIGN.search(out):
         out = unicodedata.normalize("NFKC", unicodedata.normalize("NFKD", out).translate(_AS_LATIN))
@@ -74,7 +77,7 @@ def unify(df: DataFrame, columns: list[str], suffix: str = "_form", fold_case: b
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(c, T.StringType()) for c in outs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, columns[0]):
+        for batch in slices(batches, columns):
             made = []
             for c in columns:
                 forms, codes = distinct_forms(batch.column(c), fold_case, keep_spaces)

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from folioscan.llm import neardup, pairs, unify
+from folioscan.llm import neardup, pairs, queries, unify
 
 
 def test_common_form():
@@ -15,6 +15,9 @@ def test_common_form():
     assert unify.common_form("Abc") != unify.common_form("abc")
     assert unify.common_form("Straße", fold_case=True) == unify.common_form("STRASSE", fold_case=True)
     assert unify.common_form(" a \n b ", keep_spaces=True) == "a b"
+    assert unify.common_form("\u03f9\u03f2\u03f3\u037f") == "CcjJ"  # look-alikes whose normal form is another letter
+    for c in "\ufff0\ufff8\U0001bca2\U0001d175\u2065":
+        assert unify.common_form(f"a{c}b") == "ab"
     for t in [*same, "ё ї \u00b4", "Ⅷ½"]:
         assert unify.common_form(unify.common_form(t)) == unify.common_form(t)
 
@@ -36,6 +39,13 @@ def test_twins_and_unify(spark):
     assert out["d"] is None and out["e"] == "" and out["a"] == out["b"]
 
 
+def test_unified_chunks_are_one_row_each(spark, tmp_path):
+    rows = [("a", "x\u200b", None), ("a", "x\u200b", None), ("b", None, "\u0410" * 3_000_000), (None, "1", "1"), (None, "2", "")]
+    spark.createDataFrame(rows, "chunk_id string, text string, retrieval_text string").write.parquet(str(tmp_path / "chunks.parquet"))
+    got = [tuple(r) for r in queries.p5_unified(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([("a", "x", None), ("b", None, "A" * 3_000_000), (None, "1", "1"), (None, "2", "")], key=str)
+
+
 def brute(texts, bag, least, shingle=5, min_length=30):
     forms = {k: unify.common_form(t) for k, t in texts.items() if t}
     forms = {k: f for k, f in forms.items() if len(f) >= min_length}
