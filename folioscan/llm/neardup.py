@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscan.llm.batches import slices
-from folioscan.llm.pairs import linked_groups, pairs_within
+from folioscan.llm.pairs import linked_groups, pairs_across, pairs_within
 from folioscan.llm.unify import common_form, distinct_forms, form_keys, key_of
 from folioscan.session import materialize
 
@@ -63,12 +63,13 @@ def window_hashes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]
     return owner[inside], mix(hashes[inside])
 
 
-def bag_signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray | None, records: int, m: int) -> np.ndarray:
-    """Signatures (records, m) of float64 times; weight None means a set, in which repeated elements change nothing.
+def bag_signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, records: int, m: int) -> np.ndarray:
+    """Signatures (records, m) of float64 times. `owner` is in order.
 
-    Weights are positive and count in whole steps. A record without elements has infinity everywhere.
+    Weights are positive and count in whole steps. Where all are 1 the records are sets: each element has the first block,
+    in full, and may be given more than once. A record without elements has infinity everywhere.
     """
-    if weight is None:
+    if (weight == 1).all():
         width = share = None
     else:  # levels [0,1), [1,2), [2,4), [4,8), ...; the last block of an element is held in part
         top = np.maximum(1, np.ceil(np.log2(np.maximum(weight, 1))).astype(np.int64) + 1)
@@ -77,7 +78,7 @@ def bag_signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray |
         low = np.where(block > 0, 2.0 ** (block - 1), 0.0)
         width = np.where(block > 0, low, 1.0)
         share = np.clip((weight - low) / width, 0, 1)
-        element = mix(element + block.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        element = np.where(block > 0, mix(element + block.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), element)
     signature = np.full(records * m, np.inf)
     grid = signature.reshape(records, m)
     time = np.zeros(len(owner))
@@ -94,7 +95,9 @@ def bag_signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray |
             else:
                 seen = (mix(word) >> np.uint64(11)).astype(np.float64) * 2.0**-53 < share
                 np.minimum.at(signature, place[seen], time[seen])
-            go = np.flatnonzero(time < grid.max(axis=1)[owner])
+            first = np.append(True, owner[1:] != owner[:-1])  # only records that still have processes
+            latest = grid[owner[first]].max(axis=1)
+            go = np.flatnonzero(time < latest[np.cumsum(first) - 1])
             owner, element, time = owner[go], element[go], time[go]
             if share is not None:
                 width, share = width[go], share[go]
@@ -102,12 +105,13 @@ def bag_signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray |
 
 
 def band_hashes(grid: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """(records, bands) of int32: one hash for the components of each band."""
+    """(records, bands) of int64: one hash for the components of each band and its place, so that bands share no values."""
     words = grid[:, : bands * rows].copy().view(np.uint64).reshape(len(grid), bands, rows)
-    out = np.zeros((len(grid), bands), dtype=np.uint64)
-    for r in range(rows):
-        out = mix((out + _GOLDEN) ^ words[:, :, r])
-    return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    with np.errstate(over="ignore"):
+        out = np.repeat(mix(np.arange(1, bands + 1, dtype=np.uint64) * _GOLDEN)[None, :], len(grid), axis=0)
+        for r in range(rows):
+            out = mix((out + _GOLDEN) ^ words[:, :, r])
+    return out.view(np.int64)
 
 
 def _weighted(owner: np.ndarray, element: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +137,8 @@ def signatures(df: DataFrame, number: str, text: str, bag: bool, shingle: int, m
             if not texts:
                 continue
             owner, element = window_hashes(texts, shingle)
-            grid = bag_signatures(*(_weighted(owner, element) if bag else (owner, element, None)), len(texts), bands * rows)
+            weighted = _weighted(owner, element) if bag else (owner, element, np.ones(len(owner)))
+            grid = bag_signatures(*weighted, len(texts), bands * rows)
             hashes = band_hashes(grid, bands, rows)
             keys = np.array([key_of(t) for t in texts], dtype=np.int64)
             kept = np.flatnonzero(long_enough[codes])
@@ -145,7 +150,7 @@ def signatures(df: DataFrame, number: str, text: str, bag: bool, shingle: int, m
             )
 
     kind = df.schema[number].dataType.simpleString()
-    return df.select(number, text).mapInArrow(run, f"`{number}` {kind}, form_hi long, form_lo long, bands array<int>")
+    return df.select(number, text).mapInArrow(run, f"`{number}` {kind}, form_hi long, form_lo long, bands array<long>")
 
 
 def similarity(a: str, b: str, shingle: int, bag: bool) -> float:
@@ -182,37 +187,75 @@ def _verified(pairs: DataFrame, number: str, shingle: int, bag: bool, least: flo
     return pairs.select(a, b, "text_a", "text_b").mapInArrow(run, f"`{a}` {kind}, `{b}` {kind}, similarity double")
 
 
+def _in_buckets(df: DataFrame, number: str, text: str, bag: bool, shingle: int, min_length: int, bands: int, rows: int) -> DataFrame:
+    """(bucket, number): every text (the least number of its form) in the bucket of each of its bands; a bucket is a 64-bit hash."""
+    signed = signatures(df, number, text, bag, shingle, min_length, bands, rows)
+    texts = materialize(signed.groupBy("form_hi", "form_lo").agg(F.min(number).alias(number), F.first("bands").alias("bands")), "signatures")
+    return texts.select(F.explode("bands").alias("bucket"), number)
+
+
+def _measured(df: DataFrame, candidates: DataFrame, number: str, text: str, shingle: int, bag: bool, least: float) -> DataFrame:
+    """Candidates (<number>_a, <number>_b) with their exact similarity, those of at least `least`."""
+    a, b = f"{number}_a", f"{number}_b"
+    needed = candidates.select(F.col(a).alias(number)).unionByName(candidates.select(F.col(b).alias(number))).distinct()
+    held = df.select(number, text).join(needed, number).groupBy(number).agg(F.first(text).alias("text"))
+    both = candidates.join(held.select(F.col(number).alias(a), F.col("text").alias("text_a")), a).join(
+        held.select(F.col(number).alias(b), F.col("text").alias("text_b")), b
+    )
+    return _verified(both, number, shingle, bag, least)
+
+
 def near_links(df: DataFrame, number: str = "ord", text: str = "text", *, bag: bool = False, least: float = SIMILARITY,
                shingle: int = SHINGLE, min_length: int = MIN_LENGTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(<number>_a, <number>_b, similarity): links between different texts, each text by the least number that holds it.
+    """(<number>_a, <number>_b, similarity): all links between different texts, each text by the least number that holds it.
 
     Records with equal common forms count as one text. Null texts, and texts whose form is shorter than min_length,
     have no links. Rows of one number are one record. The bucket of a band that many texts share is split
     into parts. Every link found is exact; a link of similarity s is missed with probability (1 - s**rows) ** bands.
     """
-    signed = signatures(df, number, text, bag, shingle, min_length, bands, rows)
-    texts = materialize(signed.groupBy("form_hi", "form_lo").agg(F.min(number).alias(number), F.first("bands").alias("bands")), "signatures")
-    spread = texts.select(number, F.posexplode("bands").alias("band", "hash")).select(
-        F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("hash").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("bucket"), number
-    )
+    spread = _in_buckets(df, number, text, bag, shingle, min_length, bands, rows)
     a, b = f"{number}_a", f"{number}_b"
-    buckets = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min(number).alias(a), F.max(number).alias(b)).where("n > 1")
-    larger = spread.join(buckets.where("n > 2").select("bucket").hint("shuffle_hash"), "bucket")
+    buckets = materialize(spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min(number).alias(a), F.max(number).alias(b)).where("n > 1"), "buckets")
+    larger = spread.join(buckets.where("n > 2").select("bucket"), "bucket")
     candidates = materialize(
         buckets.where("n = 2").select(a, b).unionByName(pairs_within(larger, ["bucket"], number).select(a, b)).distinct(), "candidates"
     )
-    needed = candidates.select(F.col(a).alias(number)).unionByName(candidates.select(F.col(b).alias(number))).distinct()
-    held = df.select(number, text).join(needed, number).groupBy(number).agg(F.first(text).alias("text"))
-    both = candidates.join(held.select(F.col(number).alias(a), F.col("text").alias("text_a")), a).join(
-        held.select(F.col(number).alias(b), F.col("text").alias("text_b")), b
+    return _measured(df, candidates, number, text, shingle, bag, least)
+
+
+def near_roots(df: DataFrame, number: str = "ord", text: str = "text", *, bag: bool = False, least: float = SIMILARITY,
+               shingle: int = SHINGLE, min_length: int = MIN_LENGTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(<number>, root): the texts that have a link, with the least text that they reach over links; buckets as in near_links.
+
+    No bucket lists all its pairs. First each of its texts is measured against its least one, its centre, and what is
+    linked so is one group. A link between groups can then only lie between a text that is not linked to the
+    centre and one of another group. As 1 - similarity is a metric, only those can be linked whose similarities to
+    the centre differ by at most 1 - least, and these pairs are measured too. So no link that joins groups is lost.
+    """
+    spread = _in_buckets(df, number, text, bag, shingle, min_length, bands, rows)
+    a, b = f"{number}_a", f"{number}_b"
+    centres = materialize(spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min(number).alias(a)).where("n > 1"), "buckets")
+    spokes = materialize(spread.withColumnRenamed(number, b).join(centres, "bucket").where(F.col(a) != F.col(b)).select("bucket", a, b, "n"), "spokes")
+    measured = materialize(_measured(df, spokes.select(a, b).distinct(), number, text, shingle, bag, -1.0), "measured")
+    near = linked_groups(measured.where(F.col("similarity") >= least), a, b).withColumnRenamed("node", b)
+
+    placed = spokes.where("n > 2").join(measured, [a, b]).join(near, b, "left").select("bucket", "n", F.col(b).alias("x"), "similarity", F.coalesce("root", b).alias("root"))
+    placed = materialize(placed, "placed")
+    far = placed.where(F.col("similarity") < least)
+    pairs = pairs_across(
+        far.select("bucket", "n", F.col("x").alias("x1"), F.col("similarity").alias("s1"), F.col("root").alias("r1")),
+        placed.join(far.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "n", F.col("x").alias("x2"), F.col("similarity").alias("s2"), F.col("root").alias("r2")), ["bucket"], "n", "x2",
     )
-    return _verified(both, number, shingle, bag, least)
+    open_ = pairs.where((F.col("r1") != F.col("r2")) & (F.abs(F.col("s1") - F.col("s2")) <= 1 - least + 1e-9))
+    asked = materialize(open_.select(F.least("x1", "x2").alias(a), F.greatest("x1", "x2").alias(b)).distinct(), "candidates")
+    more = _measured(df, asked, number, text, shingle, bag, least).drop("similarity")
+    return linked_groups(near.select(F.col(b).alias(a), F.col("root").alias(b)).unionByName(more), a, b).withColumnRenamed("node", number)
 
 
 def _members(df: DataFrame, number: str, id_col: str, text: str, min_length: int) -> DataFrame:
     """(number, id, form_hi, form_lo, first): every record with the least number of its form."""
     forms = materialize(form_keys(df.select(number, id_col, text), text, min_length).drop("form_length"), "forms")
-    least = forms.groupBy("form_hi", "form_lo").agg(F.min(number).alias("first"))
+    least = materialize(forms.groupBy("form_hi", "form_lo").agg(F.min(number).alias("first")), "classes")
     return forms.groupBy("form_hi", "form_lo", id_col).agg(F.min(number).alias(number)).join(least, ["form_hi", "form_lo"])
 
 
@@ -220,30 +263,28 @@ def near_pairs(df: DataFrame, id_col: str = "chunk_id", number: str = "ord", tex
     """(<id>_a, <id>_b), a < b: all pairs of near-duplicate records, records with equal common forms included.
 
     The result lists every pair of a group, so it is as large as its groups squared; near_groups has one row
-    per record instead. Nulls and short texts as in near_links.
+    per record instead. The members of a class of very many equal forms meet its links in parts. Nulls and short texts
+    as in near_links.
     """
     members = materialize(_members(df, number, id_col, text, options.get("min_length", MIN_LENGTH)), "members")
     links = near_links(df, number, text, **options).drop("similarity")
-    named = lambda side: members.select(F.col("first").alias(f"{number}_{side}"), F.col(id_col).alias(f"id_{side}"))
-    across = links.join(named("a"), f"{number}_a").join(named("b"), f"{number}_b")
+    sizes = materialize(members.groupBy("first").agg(F.count("*").alias("n")), "sizes")
+    sized = members.select("first", id_col).join(sizes, "first")
+    for side in ("a", "b"):
+        first = f"{number}_{side}"
+        links = links.join(sizes.withColumnRenamed("first", first), first)
+        links = pairs_across(links, sized.select(F.col("first").alias(first), "n", F.col(id_col).alias(f"id_{side}")), [first], "n", f"id_{side}").drop("n")
     out = [F.least("id_a", "id_b").alias(f"{id_col}_a"), F.greatest("id_a", "id_b").alias(f"{id_col}_b")]
     equal = pairs_within(members, ["form_hi", "form_lo"], id_col).select(f"{id_col}_a", f"{id_col}_b")
-    return across.select(*out).unionByName(equal)
+    return links.select(*out).unionByName(equal)
 
 
 def near_groups(df: DataFrame, id_col: str = "chunk_id", number: str = "ord", text: str = "text", **options) -> DataFrame:
-    """One row per record of at least min_length characters: id, class_id, group_id and n_links.
+    """One row per record of at least min_length characters: id, class_id and group_id.
 
     class_id is the least number among records with an equal common form, group_id the least among those
-    that are linked to it over any number of links, n_links the number of different texts linked to its own.
+    that are linked to it over any number of links.
     """
     members = _members(df, number, id_col, text, options.get("min_length", MIN_LENGTH))
-    a, b = f"{number}_a", f"{number}_b"
-    links = materialize(near_links(df, number, text, **options).select(a, b), "near-links")
-    ends = links.select(F.col(a).alias("first")).unionByName(links.select(F.col(b).alias("first")))
-    degree = ends.groupBy("first").agg(F.count("*").alias("n_links"))
-    groups = linked_groups(links, a, b).withColumnRenamed("node", "first")
-    return (
-        members.join(degree, "first", "left").join(groups, "first", "left")
-        .select(id_col, F.col("first").alias("class_id"), F.coalesce("root", "first").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
+    roots = materialize(near_roots(df, number, text, **options).withColumnRenamed(number, "first"), "roots")
+    return members.join(roots, "first", "left").select(id_col, F.col("first").alias("class_id"), F.coalesce("root", "first").alias("group_id"))

@@ -74,9 +74,31 @@ def test_pairs_equal_brute_force(spark, bag):
 
 def test_groups(spark):
     rows = [(1, "a", LONG, None, None), (2, "b", LONG, None, None), (3, "c", LONG[:-3] + "位字符", None, None), (4, "d", LONG[::-1], None, None), (5, "e", None, None, None)]
-    got = {r.chunk_id: (r.class_id, r.group_id, r.n_links) for r in neardup.near_groups(chunk_rows(spark, rows)).collect()}
-    assert got == {"a": (1, 1, 1), "b": (1, 1, 1), "c": (3, 1, 1), "d": (4, 4, 0)}
+    got = {r.chunk_id: (r.class_id, r.group_id) for r in neardup.near_groups(chunk_rows(spark, rows)).collect()}
+    assert got == {"a": (1, 1), "b": (1, 1), "c": (3, 1), "d": (4, 4)}
     assert neardup.near_pairs(chunk_rows(spark, []), bands=8).count() == 0
+    assert neardup.near_groups(chunk_rows(spark, []), bands=8).count() == 0
+
+
+def test_groups_equal_brute_force_links(spark):
+    """Chains whose ends are far apart share buckets with their middle: groups are those of all links."""
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + i) for i in range(300)]
+    texts = {}
+    for i in range(12):
+        s = rng.choices(letters, k=rng.randint(60, 120))
+        for j in range(rng.randint(1, 9)):
+            texts[len(texts)] = "".join(s)
+            at = rng.randrange(len(s) - 8)
+            s[at : at + 8] = rng.choices(letters, k=8)  # each step drifts further from the first
+    df = chunk_rows(spark, [(k, f"t{k}", t, None, None) for k, t in texts.items()])
+    links = brute(texts, True, 0.6)
+    root = {k: k for k in texts}
+    for _ in texts:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {int(r.chunk_id[1:]): r.group_id for r in neardup.near_groups(df, bag=True, bands=200, rows=3).collect()}
+    assert got == root and len(set(root.values())) < len(root)
 
 
 def test_signatures_estimate_weighted_jaccard():
@@ -97,6 +119,13 @@ def test_hot_group_is_split(spark):
     assert got.count() == 60 * 59 // 2 + 1 and got.distinct().count() == got.count()
 
 
+def test_hot_classes_meet_in_parts(spark):
+    left = spark.range(3).selectExpr("id % 2 AS k", "id AS x", "50L AS n")
+    right = spark.range(100).selectExpr("id % 2 AS k", "id AS y", "50L AS n")
+    got = pairs.pairs_across(left, right, ["k"], "n", "y", part_rows=7)
+    assert got.count() == 150 and got.select("x", "y").distinct().count() == 150
+
+
 def test_linked_groups(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(40)] + [(100 + rng.randrange(30), 100 + rng.randrange(30)) for _ in range(25)] + [(500, 500), (None, 3)]
