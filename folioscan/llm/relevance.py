@@ -13,7 +13,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,13 +93,13 @@ def record_terms(df: DataFrame, id_col: str, fields: list[str], terms: str) -> D
 
 def scored_terms(df: DataFrame, id_col: str = "chunk_id", fields: list[str] = ("text",), terms: str = "word",
                  k1: float = K1, b: float = B, head: int = HEAD_TERMS) -> tuple[DataFrame, DataFrame]:
-    """(scored, records): record, id, term, tf, df and score of every term of every record; and record, id.
+    """(scored, records): record, id, term, tf, df, n, idf and score of every term of every record; and record, id.
 
     Null and empty fields add no terms, and a record without terms still counts in the collection. Rows of one id are
-    one record (they are taken to be equal), each row without id is one of its own. Records are numbered, so that postings can carry a number for the id. The
-    number of records and their average length are one row, which is broadcast. Document frequencies are partial
-    counts first; those of the `head` most frequent terms are broadcast, so that most postings are scored
-    where they lie, and the postings of all other terms meet theirs in a shuffle by term.
+    one record (they are taken to be equal), each row without id is one of its own. Records are numbered, so that postings
+    can carry a number for the id. The number of records and their average length are one row, which is broadcast. Document
+    frequencies are partial counts first; those of the `head` most frequent terms, a bounded table, are broadcast, so that
+    hot terms are scored where they lie, and the postings of all other terms meet theirs in a shuffle by term.
     """
     if terms == "code":  # few terms: copies are dropped after them
         rows = record_terms(df, id_col, list(fields), terms).withColumn("_apart", apart(id_col))
@@ -112,17 +112,21 @@ def scored_terms(df: DataFrame, id_col: str = "chunk_id", fields: list[str] = ("
         "record", id_col, "length", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf")
     )
     frequency = posted.groupBy("term").agg(F.count("*").alias("df"))
-    if head and terms != "code":
+    if head:
         frequency = materialize(frequency, "frequency")
         often = materialize(frequency.where(F.length("term") <= HEAD_CHARS).orderBy(F.desc("df"), "term").limit(head), "often")
         seldom = posted.join(F.broadcast(often), "term", "left_anti").join(frequency.hint("shuffle_hash"), "term")
         met = posted.join(F.broadcast(often), "term").unionByName(seldom)
     else:
         met = posted.join(frequency.hint("shuffle_hash"), "term")
-    idf = F.log1p((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
-    scored = met.crossJoin(F.broadcast(collection))
-    return scored.select("record", id_col, "term", "tf", "df", (idf * tf).alias("score")), records.select("record", id_col)
+    scored = met.crossJoin(F.broadcast(collection)).withColumn("idf", weight_of(F.col("df"), F.col("n")))
+    return scored.select("record", id_col, "term", "tf", "df", "n", "idf", (F.col("idf") * tf).alias("score")), records.select("record", id_col)
+
+
+def weight_of(df: Column, n: Column) -> Column:
+    """The relevance weight of a term that df of n records hold; it falls as df grows."""
+    return F.log1p((n - df + 0.5) / (df + 0.5))
 
 
 def record_scores(df: DataFrame, id_col: str, fields: list[str], head: int = HEAD_TERMS) -> DataFrame:
@@ -135,12 +139,18 @@ def characteristic_terms(df: DataFrame, id_col: str, fields: list[str], k: int =
     """A report: only the k highest-scored terms of each record, ties by term: id, rank (from 1), term, tf, df, score."""
     scored, records = scored_terms(df, id_col, fields)
     best = Window.partitionBy("record").orderBy(F.desc("score"), "term")
-    top = scored.drop(id_col).withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    top = scored.select("record", "term", "tf", "df", "score").withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return top.join(records, "record").select(id_col, "rank", "term", "tf", "df", "score")
 
 
 def shared_codes(df: DataFrame, id_col: str = "chunk_id", field: str = "retrieval_text", otherwise: str = "text", low: int = 2, high: int = 8) -> DataFrame:
-    """(id, term) of the codes that low to high records hold, of `field`, or of `otherwise` where that is null or empty."""
+    """(id, term) of the codes that low to high records hold, of `field`, or of `otherwise` where that is null or empty.
+
+    A view of the scored codes: those whose relevance weight lies between the weights of half a record less than low and half a
+    record more than high, and which have a score.
+    """
     chosen = df.select(id_col, F.coalesce(F.when(F.col(field) != "", F.col(field)), F.col(otherwise)).alias("_text"))
     scored, records = scored_terms(chosen, id_col, ["_text"], "code")
-    return scored.where(F.col("df").between(low, high)).select("record", "term").join(records, "record").select(id_col, "term")
+    least, most = (weight_of(F.lit(edge), F.col("n")) for edge in (high + 0.5, low - 0.5))
+    shared = scored.where((F.col("idf") > least) & (F.col("idf") < most) & (F.col("score") > 0))
+    return shared.select("record", "term").join(records, "record").select(id_col, "term")

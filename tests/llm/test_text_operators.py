@@ -132,6 +132,11 @@ def test_relevance_against_brute_force(spark):
     assert relevance.shared_codes(df.limit(0)).count() == 0
 
 
+def test_hot_codes_are_not_shared_codes(spark):
+    df = spark.createDataFrame([(f"c{i}", f"见HOT-1234{'，AB1111' if i < 8 else ''}{'，CD2222' if i == 3 else ''}{'，EF3333' if i < 9 else ''}") for i in range(40)], "chunk_id string, retrieval_text string").withColumn("text", F.col("retrieval_text"))
+    assert {tuple(r) for r in relevance.shared_codes(df).collect()} == {(f"c{i}", "AB1111") for i in range(8)}
+
+
 def test_all_terms_of_a_record_are_scored(spark, tmp_path):
     texts = {"a": " ".join(f"wort{i}" for i in range(40)) + " 甲乙丙", "b": " ".join(f"wort{i}" for i in range(0, 40, 3)), "c": None}
     rows = [(k, t, "wort1" if k == "b" else None) for k, t in texts.items()]
@@ -196,9 +201,24 @@ def test_repetition_against_brute_force(spark):
         assert (rows[i].n_chars, rows[i].n_windows, rows[i].n_repeated) == brute_share(t or "")
     assert {r.doc_id for r in repetition.repetitive(df).collect()} == {4, 6, 7}
     assert rows[6].n_failed == 8 and rows[6].rejected and not rows[5].rejected
+    assert rows[4].n_failed == 1 and rows[4].n_lost_repeated == 120  # one line that repeats itself
     assert repetition.repetitive(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("line,failure", [
+    ("首页 > 产品 > 寿险", "navigation"), ("Accueil", "navigation"), ("3 likes", "navigation"), ("2024-03-01", "navigation"), ("————", "punctuation"), ("保险责任", None), ("a | b", None),
+    ("版权所有，未经许可不得转载", "boilerplate"), ("All rights reserved. " * 30, "boilerplate"), ("本产品的版权所有人为甲公司。投保人应当阅读。保险责任见第三条。", None), ("甲公司与乙公司 | 丙公司的年度报告及其他有关文件的说明", None),
+])
+def test_line_rules(line, failure):
+    assert repetition.line_failure(line.strip()) == failure
+
+
+def test_lines_are_cleaned_by_themselves():
+    said = "保险责任如下所示内容完整，期限为二十年，合计一百万元。"
+    assert repetition.clean_lines(f"{said}\n首页 | 目录\n {said}\n短行\n\n短行\n结束语。") == f"{said}\n短行\n结束语。"
+    assert repetition.clean_lines("") == "" and repetition.clean_lines(" \n") == ""
+
+
 def test_draws_are_split_exactly():
     draws = np.array([100, 7, 0, 33])
     out = mixture.split_draws(draws, 11, 1)
