@@ -14,6 +14,11 @@ from folioscan.llm import bpe
 from folioscan.llm.batches import apart, slices
 
 DEFAULT_TOKENIZER = "byte_bpe_50k"
+# Function words by which a language written in Latin letters is told.
+FUNCTION_WORDS = {
+    "en": "the of and to in is for by on with or shall be are from".split(),
+    "fr": "le la les de des du et est une un pour par dans que sur au aux".split(),
+}
 
 
 def token_counts(df: DataFrame, text: str = "text", out: str = "n_tokens", vocabulary: str | None = None) -> DataFrame:
@@ -86,6 +91,14 @@ def tidy_language(lang: Column) -> Column:
     return F.when(plain.isNull() | (plain == ""), "und").otherwise(plain)
 
 
+def text_language(text: Column) -> Column:
+    """zh where at least a fifth of the characters are Han characters, else the language of most function words, else und."""
+    han = F.length(F.regexp_replace(text, "[^\\x{4e00}-\\x{9fff}]+", ""))
+    found = [F.struct(F.regexp_count(F.lower(text), F.lit(rf"\b(?:{'|'.join(words)})\b")).alias("n"), F.lit(lang).alias("lang")) for lang, words in FUNCTION_WORDS.items()]
+    most = F.greatest(*found)
+    return F.when(han * 5 >= F.greatest(F.length(text), F.lit(1)), "zh").when(most["n"] > 0, most["lang"]).otherwise("und")
+
+
 def latest_domains(index: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, domain): the last known domain of each document, whatever the order in which its states arrived."""
     return (
@@ -118,9 +131,9 @@ def corpus_budget(documents: DataFrame, chunks: DataFrame, index: DataFrame, voc
     """Token totals by collection and every subset of source, language and domain.
 
     Documents carry their own source and language, and their index document's last known domain. Chunks (one
-    per chunk_id, and each row without one) have source 'chunks', their document's domain, and language zh where at least a fifth of the characters are
-    Han characters, else und. Sums are formed before the join with domains, so that a document with very many
-    rows arrives there as few.
+    per chunk_id, and each row without one) have source 'chunks', their document's domain, and the language of their text
+    (text_language). Redelivered chunks are few and go after they are counted, so that no text is shuffled. Sums are
+    formed before the join with domains, so that a document with very many rows arrives there as few.
     """
     sums = [F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"), F.sum("n_tokens").alias("n_tokens")]
     text_size = F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")
@@ -131,11 +144,10 @@ def corpus_budget(documents: DataFrame, chunks: DataFrame, index: DataFrame, voc
         ),
         vocabulary=vocabulary,
     ).groupBy("collection", "source", "lang", "of").agg(*sums)
-    han = F.length(F.regexp_replace("text", "[^\\x{4e00}-\\x{9fff}]+", ""))
     parts = token_counts(
         chunks.select(
             "chunk_id", apart("chunk_id").alias("apart"), F.lit("chunks").alias("collection"), F.lit("chunks").alias("source"),
-            F.when(han * 5 >= F.greatest(F.length("text"), F.lit(1)), "zh").otherwise("und").alias("lang"),
+            text_language(F.col("text")).alias("lang"),
             F.col("doc_id").alias("of"), text_size, "text",
         ),
         vocabulary=vocabulary,

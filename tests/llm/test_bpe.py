@@ -88,6 +88,12 @@ def test_corpus_budget_counts_copies_once(spark):
     assert got == {("documents", "src_a", "en", "insurance"): 1, ("documents", "unknown", "und", "unknown"): 1, ("chunks", "chunks", "zh", "insurance"): 1, ("chunks", "chunks", "und", "unknown"): 1}
 
 
+def test_language_of_chunks(spark):
+    texts = {"保险 ABC": "zh", "The rate of the bond, and its term": "en", "Le taux de la dette et les frais": "fr", "XYZ 12": "und", "": "und", None: "und", "theory often": "und"}
+    df = spark.createDataFrame([(t, w) for t, w in texts.items()], "t string, want string")
+    assert [r.t for r in df.withColumn("got", tokens.text_language(df.t)).where("got != want").collect()] == []
+
+
 def test_counts_keep_no_ids(model):
     fresh = bpe.load.__wrapped__(bpe.tokenizer_file("byte_bpe_50k"))
     texts = [None, "", " ", "甲乙丙丁，戊己庚辛。", "the 12 cats'll  \n\n go", "aaaaaaaaaaaaaaaaaaaaaaab" * 50, "é" * 70, "the 12 cats"]
