@@ -219,10 +219,53 @@ def test_lines_are_cleaned_by_themselves():
     assert repetition.clean_lines("") == "" and repetition.clean_lines(" \n") == ""
 
 
-def test_draws_are_split_exactly():
-    draws = np.array([100, 7, 0, 33])
-    out = mixture.split_draws(draws, 11, 1)
-    assert (out.sum(axis=0) == draws).all() and out.sum(axis=1).max() - out.sum(axis=1).min() <= 1
+@pytest.mark.parametrize("shards,draws", [(1, [5, 0]), (11, [100, 7, 0, 33]), (64, [3, 2]), (1000, [31_000, 900, 100]), (1_000_000, [20_000_000, 0, 11_000_000, 1])])
+def test_draws_are_split_exactly(shards, draws):
+    zero = np.zeros(len(draws))
+    low, high, have, first = mixture.split_draws(0, shards, np.array(draws), zero, 1)
+    assert (have.sum(axis=0) == draws).all() and (high == low + 1).all() and len(set(low.tolist())) == len(low)
+    assert len(low) == min(shards, sum(draws)) and have.sum(axis=1).max() - have.sum(axis=1).min() <= 1
+    for k, n in enumerate(draws):  # every draw is in one shard
+        order = np.argsort(first[:, k], kind="stable")
+        held = have[order, k] > 0
+        assert (np.cumsum(have[order, k])[held] == (first[order, k] + have[order, k])[held]).all()
+    top = mixture.split_draws(0, shards, np.array(draws), zero, 1, -(-shards // 16))
+    assert len(top[0]) <= 32 and (top[2].sum(axis=0) == draws).all()
+
+
+def test_draws_beyond_the_exact_generator():
+    have = np.array([3 * 10**12, 10**6, 0, 5 * 10**10])
+    _, _, parts, _ = mixture.split_draws(0, 7, have, np.zeros(4), 3)
+    assert (parts.sum(axis=0) == have).all() and (parts >= 0).all()
+    assert np.abs(parts / parts.sum(axis=1, keepdims=True) - have / have.sum()).max() < 1e-3
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
+def test_numbers_are_permuted(n):
+    out = mixture.permuted(np.arange(n), n, 5)
+    assert sorted(out.tolist()) == list(range(n)) and (n < 17 or out.tolist() != list(range(n)))
+    assert mixture.permuted(np.arange(n)[::-1], n, 5).tolist() == out[::-1].tolist()
+
+
+@pytest.mark.parametrize("bits", [1, 12])
+def test_last_places(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixture, "BIN_BITS", bits if bits > 1 else 5)
+    places = [5, 5, 9, 2**40, 2**40 + 1, 2**62 + 7]
+    records = spark.createDataFrame([(k, p, 10) for k in (0, 1) for p in places], "source_no int, place long, n_tokens long")
+    assert mixture.last_places(records, {0: 1, 1: 60}) == {0: 5, 1: 2**62 + 7}
+    assert mixture.last_places(records, {0: 21, 1: 31}) == {0: 9, 1: 2**40}
+    assert mixture.last_places(records, {0: 0, 1: 41}) == {1: 2**40 + 1}
+
+
+@pytest.mark.parametrize("shard_tokens", [50_000, 5_000, 700])
+def test_shards_have_one_size(spark, shard_tokens):
+    sized = spark.range(9_000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS source", "10L AS n_tokens")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 1)], "source string, target_weight double, max_repeats int")
+    draws, shares = mixture.mixture(sized, targets, shard_tokens=shard_tokens)
+    sizes = [r[1] for r in draws.groupBy("shard").agg(F.sum("n_tokens")).collect()]
+    assert len(sizes) == -(-120_000 // shard_tokens) and {r.source: r.drawn_tokens for r in shares.collect()} == {"a": 60_000, "b": 60_000}
+    block = 120_000 / len(sizes) / mixture.BLOCKS_A_SHARD
+    assert np.std(sizes) <= 4 * block * np.sqrt(mixture.BLOCKS_A_SHARD)  # as many blocks each, of random sizes
 
 
 def test_mixture(spark):
@@ -245,6 +288,9 @@ def test_mixture(spark):
     assert all(sorted(p) == list(range(len(p))) for p in places.values()) and len(places) > 5
     empty, none = mixture.mixture(sized.limit(0), targets)
     assert empty.count() == 0 and none.count() == 4
+    assert [d.count() for d in mixture.mixture(sized, targets.limit(0))] == [0, 0]
+    nameless = spark.range(300).selectExpr("CAST(NULL AS LONG) AS doc_id", "'big' AS source", "10L AS n_tokens")
+    assert mixture.mixture(nameless, targets, total=1000)[0].count() == 100
 
 
 @pytest.mark.parametrize("sign", ["<!-- x ", "\\[ a\n", "*a ", "|a", "<a b ", "[[", "{{", "$a_", "\\emph{", "~~a", "`"])
