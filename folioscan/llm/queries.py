@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscan.llm import markup, mixture, neardup, relevance, repetition, splitting, tokens, unify
 from folioscan.llm.batches import one_per_id
-from folioscan.session import table
+from folioscan.session import materialize, table
 
 
 def p1_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,19 +26,23 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.with_markup(table(spark, sf_dir, "chunks"))
 
 
+def _chunks_of_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(chunk_id, host, text), a row per chunk. A host is the folder that a document's Markdown was parsed into, by its latest state."""
+    index = table(spark, sf_dir, "document_index").where("source_markdown_path IS NOT NULL")
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("host")
+    hosts = index.groupBy("doc_id").agg(F.max_by("source_markdown_path", F.struct("indexed_at", "source_markdown_path")).alias("path")).select("doc_id", folder)
+    chunks = one_per_id(table(spark, sf_dir, "chunks"), "chunk_id", ["doc_id", "text"])
+    return materialize(chunks.join(materialize(hosts, "hosts"), "doc_id", "left").select("chunk_id", "host", "text"), "host-texts")
+
+
 def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.markup_streams(table(spark, sf_dir, "chunks"))
+    """Every chunk cleaned with the wrapper of its host."""
+    texts = _chunks_of_hosts(spark, sf_dir)
+    return markup.cleaned_texts(texts, markup.host_wrappers(texts))
 
 
 def p3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A host is the folder that a document's Markdown was parsed into, by its latest state."""
-    index = table(spark, sf_dir, "document_index").where("source_markdown_path IS NOT NULL")
-    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("host")
-    hosts = index.groupBy("doc_id").agg(F.max_by("source_markdown_path", F.struct("indexed_at", "source_markdown_path")).alias("path")).select("doc_id", folder)
-    chunks = table(spark, sf_dir, "chunks")
-    streams = markup.markup_streams(chunks.select(F.struct("chunk_id", "doc_id").alias("of"), "text"), "of").groupBy("of").agg(F.max("structure").alias("structure"))
-    by_document = streams.select("of.doc_id", "structure").join(hosts, "doc_id", "left")
-    return markup.host_wrappers(by_document.select("host", "structure"))
+    return markup.host_wrappers(_chunks_of_hosts(spark, sf_dir)).drop("nodes")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

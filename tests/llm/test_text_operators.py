@@ -1,3 +1,4 @@
+import random
 import re
 import unicodedata
 from collections import Counter, defaultdict
@@ -8,16 +9,17 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from folioscan.llm import markup, mixture, queries, relevance, repetition, splitting, tokens
+from folioscan.llm import markup, mixture, queries, relevance, repetition, splitting, tokens, wrappers
 
 MARKED = [
     "a<br/>b", "x <b>y", "<H1 class='t'>节</H1>", "a <!-- 注 --> b", "a &nbsp; b", "&#12288;", "&lt;em&gt;x&lt;/em&gt;", "## 标题", "甲**乙丙**丁", "~~删~~", "[甲](../a/b.md)", "![](pic/a.png)",
     "注[^1]", "`代码`", "```\nx\n```", "> 引", "| a | b |\n|---|---|\n| 1 | 2 |", "[[链接|字]]", "{{模板|值}}", "== 节 ==", "'''粗'''", "{|\n|-\n| a || b\n|}", "__NOTOC__", "甲\\textbf{乙}丙",
-    "\\begin{itemize}\n\\item 甲\n\\end{itemize}", "式$x_t = 1$。", "\\[ a^2 \\]", "<ref name=n>注</ref>",
+    "<!DOCTYPE html>", "<?xml version='1.0'?>", "<o:p>甲", "<custom a=\"1\">", "</custom>", "{{模板\n|甲=1\n}}", "\\LaTeX 文", "\\xi + \\zeta", "{\\bf x}", "甲[文档][ref]", "\n[ref]: http://a.b/c", "\n\n标题\n====", "f:\\mathbb{R}",
+    "|a|b|\n|c|d|", "\\begin{itemize}\n\\item 甲\n\\end{itemize}", "式$x_t = 1$。", "\\[ a^2 \\]", "<ref name=n>注</ref>",
 ]
 PLAIN = [
     "", " ", "A<3 且 B>7", "A->B", "约$500，又约$600，共$1", "[2027]12号", "注[3]", "第#3批", "____", "____和____", "5~7日，8~9日", "R&D；", "{甲}", "doc_no", "C:\\out", "e=mc^2", "以前*，以后*，再*",
-    "丙类|丁类", "a = b == c", "x_1 和 y_2", "A<B 且 C>D", "1 < 2 > 0", "路径 /a/b_c/d", "- 项", "a'b''",
+    "丙类|丁类", "a = b == c", "x_1 和 y_2", "3*4*5", "2*(3+1)*4", "国发[2023](12)号", "见[1](2)", "[1][2]", "|x|+|y|", "if a <i and j> 0", "C:\\alpha\\beta", "路径 \\\\srv\\share\\dir", "dir\\file\\name", "\\u4e2d\\u6587", "甲\n乙\n----\n丙", "A<B 且 C>D", "1 < 2 > 0", "路径 /a/b_c/d", "- 项", "a'b''",
 ]
 
 
@@ -44,23 +46,65 @@ def test_clean_keeps_structure():
 @given(st.text(alphabet="ab 甲乙\n<>/*_~`#|[](){}\\$&;='!^-:.", max_size=80))
 def test_clean_never_fails(text):
     markup.clean(text)
-    markup.blocks(markup.clean(text))
+    wrappers.of_stream(x for x, _, _ in markup.stream(text, markup.tokens(text)))
 
 
-def test_wrappers(spark):
-    read, write = markup.read, markup.written
-    assert write(markup.align(read("heading text"), read("heading item+ text code"))) == "heading item* text code?"
-    assert write(markup.fold(read("text row text row text row"))) == "(text row)+"
-    rows = [("h", "heading text"), ("h", "heading text row+"), ("h", ""), (None, "text")]
-    got = {r.host: (r.wrapper, r.n_texts) for r in markup.host_wrappers(spark.createDataFrame(rows, "host string, structure string"), fan=2).collect()}
-    assert got == {"h": ("heading text row*", 3), None: ("text", 1)}
-
-
-def test_markup_rows(spark):
-    df = spark.createDataFrame([("a", "x <br> y"), ("a", "x <br> y"), ("b", None), ("c", ""), ("d", "平文")], "chunk_id string, text string")
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab0 9\n<>/`$\\{}&;\ue000\ue001", max_size=60))
+def test_characters_of_marks_are_kept(text):
+    assert re.findall("[\ue000\ue001]", markup.clean("<br>" + text.replace("<", "").replace("{", "").replace("$", "").replace("&", "").replace("\\", ""))) == re.findall("[\ue000\ue001]", text)
+    markup.clean("<br>" + text)
+
+
+def test_clean_of_deep_residue():
+    assert markup.clean("&" + "amp;" * 9 + "lt;b&" + "amp;" * 9 + "gt;x &amp;amp;amp; y") == "x & y"
+    deep = "\\emph{" * 500 + "甲" + "}" * 500
+    assert markup.clean(deep) == "甲"
+    assert markup.clean("见\\cite{a}~乙\\footnote{注\\emph{丙}}，\\href{http://x}{字}") == "见乙（注丙），字"
+    assert markup.clean("标题\n====\n\\noindent\\alpha 与 {\\bf 粗}") == "# 标题\n$\\alpha$ 与 粗"
+    assert markup.clean("\ue0009\ue001 <br> `\ue0000\ue001`") == "\ue0009\ue001 \n `\ue0000\ue001`".replace(" \n", "\n")
+
+
+def wrapper(*streams):
+    made = [wrappers.of_stream(s.split()) for s in streams]
+    out = made[0]
+    for w in made[1:]:
+        out = wrappers.align(out, w)
+    assert wrappers.loaded(wrappers.dumped(out)) == out
+    return wrappers.written(out)
+
+
+def test_wrappers_of_streams():
+    assert wrapper('<h2> "a" </h2> "x" <hr> "脚"', '<h2> "b" </h2> "y" <b> "z" </b> <hr> "脚"') == '<h2> # </h2> # #? </b>? <b>? <hr> "脚"'
+    assert wrapper("<li> # <li> #") == "(<li> #)+" == wrapper("<li> # <li> #", "<li> #", "<li> # <li> # <li> #")
+    assert wrapper("<p> #", "#") == "<p>? #" and wrapper("<b> # <i> # <b>", "#").count("#") >= 1
+    assert wrapper('"a"', '"a"') == '"a"' and wrapper('"a"', '"b"') == "#" and wrapper("", "<b> #") == "#? <b>?"
+    many = wrapper(*(" ".join(random.Random(i).choices(["<b>", "#", "<i>", "md_code"], k=300)) for i in range(6)))
+    assert len(many.split()) < 2000 and "#" in many
+
+
+def test_wrappers_of_hosts(spark):
+    said = [f"<h2>题{i}</h2>\n正文{'甲乙丙丁'[i % 4]}{i}。\n<hr>本页由系统自动生成" for i in range(12)]
+    rows = [("h", t) for t in said] + [(None, "甲"), (None, None), ("g", "本页由系统自动生成")]
+    df = spark.createDataFrame([(i, h, t) for i, (h, t) in enumerate(rows)], "id long, host string, text string").repartition(4)
+    for fan in (2, 64):
+        found = markup.host_wrappers(df, fan=fan)
+        got = {r.host: (r.wrapper, r.n_texts) for r in found.collect()}
+        assert got["h"] == ('<h2> # </h2> # <hr> "本页由系统自动生成"', 12) and got[None][1] == 2 and got["g"] == ('"本页由系统自动生成"', 1)
+    cleaned = {r.id: r for r in markup.cleaned_texts(df, found, "id").collect()}
+    assert cleaned[0].clean_text == "## 题0\n\n正文甲0。" and cleaned[0].n_template == 1 and cleaned[0].structure == "<h2> # </h2> # <hr> #"
+    assert cleaned[12].clean_text == "甲" and cleaned[13].clean_text is None and cleaned[14].clean_text == "本页由系统自动生成"  # one text makes no template
+    assert len(cleaned) == 15 and markup.host_wrappers(df.limit(0)).count() == 0
+
+
+def test_markup_rows(spark, tmp_path):
+    df = spark.createDataFrame([("a", "x <br> y"), ("a", "x <br> y"), ("b", None), ("c", ""), ("d", "平文"), (None, "甲"), (None, "乙")], "chunk_id string, text string")
     assert [r.chunk_id for r in markup.with_markup(df).collect()] == ["a"]
-    out = {r.chunk_id: r.clean_text for r in markup.markup_streams(df).collect()}
-    assert out == {"a": "x\n y", "b": None, "c": "", "d": "平文"}
+    df.withColumn("doc_id", F.when(F.col("chunk_id") < "c", "d1")).write.parquet(str(tmp_path / "chunks.parquet"))
+    spark.sql("select 'd1' doc_id, 'p/q/a.md' source_markdown_path, timestamp_ntz'2026-01-01' indexed_at").write.parquet(str(tmp_path / "document_index.parquet"))
+    out = [(r.chunk_id, r.clean_text) for r in queries.p3_clean(spark, str(tmp_path)).collect()]
+    assert sorted(out, key=str) == sorted([("a", "x\n y"), ("b", None), ("c", ""), ("d", "平文"), (None, "甲"), (None, "乙")], key=str)
+    assert {r.host: r.n_texts for r in queries.p3_wrappers(spark, str(tmp_path)).collect()} == {"p/q": 2, None: 4}
     assert markup.with_markup(df.limit(0)).count() == 0
 
 
