@@ -29,6 +29,8 @@ SIMILARITY = 0.6
 MIN_LENGTH = 30
 #: 64 bands of 5 components find a pair of similarity 0.6 with probability 0.994, one of 0.65 with 0.9996.
 BANDS, ROWS = 64, 5
+#: Buckets that are broadcast at most, each about 50 bytes.
+BROADCAST_BUCKETS = 1_000_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 2 << 20
@@ -194,6 +196,11 @@ def _in_buckets(df: DataFrame, number: str, text: str, bag: bool, shingle: int,
     return texts.select(F.explode("bands").alias("bucket"), number)
 
 
+def small_enough(buckets: DataFrame, most: int = BROADCAST_BUCKETS) -> DataFrame:
+    """buckets, to be broadcast if they are few, so that the bands of all texts need not be shuffled once more to meet them."""
+    return F.broadcast(buckets) if buckets.count() <= most else buckets
+
+
 def _measured(df: DataFrame, candidates: DataFrame, number: str, text: str, shingle: int, bag: bool, least: float) -> DataFrame:
     """Candidates (<number>_a, <number>_b) with their exact similarity, those of at least `least`."""
     a, b = f"{number}_a", f"{number}_b"
@@ -216,7 +223,7 @@ def near_links(df: DataFrame, number: str = "ord", text: str = "text", *, bag: b
     spread = _in_buckets(df, number, text, bag, shingle, min_length, bands, rows)
     a, b = f"{number}_a", f"{number}_b"
     buckets = materialize(spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min(number).alias(a), F.max(number).alias(b)).where("n > 1"), "buckets")
-    larger = spread.join(buckets.where("n > 2").select("bucket"), "bucket")
+    larger = spread.join(small_enough(buckets.where("n > 2").select("bucket")), "bucket")
     candidates = materialize(
         buckets.where("n = 2").select(a, b).unionByName(pairs_within(larger, ["bucket"], number).select(a, b)).distinct(), "candidates"
     )
@@ -235,7 +242,7 @@ def near_roots(df: DataFrame, number: str = "ord", text: str = "text", *, bag: b
     spread = _in_buckets(df, number, text, bag, shingle, min_length, bands, rows)
     a, b = f"{number}_a", f"{number}_b"
     centres = materialize(spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min(number).alias(a)).where("n > 1"), "buckets")
-    spokes = materialize(spread.withColumnRenamed(number, b).join(centres, "bucket").where(F.col(a) != F.col(b)).select("bucket", a, b, "n"), "spokes")
+    spokes = materialize(spread.withColumnRenamed(number, b).join(small_enough(centres), "bucket").where(F.col(a) != F.col(b)).select("bucket", a, b, "n"), "spokes")
     measured = materialize(_measured(df, spokes.select(a, b).distinct(), number, text, shingle, bag, -1.0), "measured")
     near = linked_groups(measured.where(F.col("similarity") >= least), a, b).withColumnRenamed("node", b)
 
