@@ -131,7 +131,8 @@ def tokenize(column: Column | str) -> Column:
     """
 
     def grams(run: Column) -> Column:
-        pieces = lambda n: F.transform(F.sequence(F.lit(1), F.length(run) - (n - 1)), lambda i: run.substr(i, F.lit(n)))
+        # looked at, not consumed: one match at each character, in time linear in the run
+        pieces = lambda n: F.regexp_extract_all(run, F.lit(f"(?=({'.' * n}))"), F.lit(1))
         return F.when(run.rlike(HAN) & (F.length(run) > 2), F.concat(F.array(run), pieces(2), pieces(3))).otherwise(F.array(run))
 
     runs = F.regexp_extract_all(F.lower(normalize(column)), F.lit(TERM_RUN), F.lit(0))
@@ -149,7 +150,11 @@ def compact(column: Column) -> Column:
     return F.replace(normalize(column), F.lit(" "), F.lit(""))
 
 
+def matched_in(bare: Column, terms: Column, most: int = 20) -> Column:
+    """the terms contained in a text that is compact, both without spaces; the first `most`. Terms must be normalized."""
+    return F.slice(F.filter(terms, lambda t: (t != "") & F.contains(bare, F.replace(t, F.lit(" "), F.lit("")))), 1, most)
+
+
 def matched_terms(text: Column, terms: Column, most: int = 20) -> Column:
-    """the terms contained in the text, both without spaces; the first `most`. Terms must be normalized."""
-    bare = lambda t: F.replace(t, F.lit(" "), F.lit(""))
-    return let(compact(text), lambda whole: F.slice(F.filter(terms, lambda t: (t != "") & F.contains(whole, bare(t))), 1, most))
+    """matched_in for a text as it stands."""
+    return let(compact(text), lambda whole: matched_in(whole, terms, most))

@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscan.functions import rules
-from folioscan.functions.text import matched_terms, normalize
+from folioscan.functions.text import compact, matched_in, normalize
 from folioscan.operators.bm25 import Bm25Index
-from folioscan.operators.recall import DOC_K, DOC_PREFIX, DOMAINS_MEET, all_wanted, match_terms, own_terms, recall_documents, signal_weights
+from folioscan.operators.recall import DOC_K, DOC_PREFIX, document_heads, recalled, signal_weights
+from folioscan.operators.scoring import match_terms, numbered_terms, search_within, terms_of_queries
 from folioscan.session import materialize
 
 BM25_K, TOP_K = 30, 15
 TEXT_KEY, EVIDENCE_CHARS = 120, 1200
 KEYWORD_FACTOR = 1.2
+#: Characters of a document's text in one row, and the range of ord whose chunks make up a piece of a longer one.
+TEXT_CHARS, TEXT_RANGE = 1 << 26, 1 << 14
+
 
 def distinct_questions(questions: DataFrame) -> DataFrame:
     """Questions with one row per qid and without null qid; a null domain is empty."""
@@ -36,57 +40,43 @@ def question_texts(questions: DataFrame) -> DataFrame:
     )
 
 
-def document_texts(chunks: DataFrame) -> DataFrame:
-    """doc_id, ord (of its first chunk), domain (last that is not empty) and the first 800 characters of each chunk in order.
+def document_texts(chunks: DataFrame, most_chars: int = TEXT_CHARS) -> DataFrame:
+    """doc_id, piece, ord (of its first chunk), domain (last that is not empty) and text: the first 800 characters of each chunk in order.
 
-    A document's text is gathered in one row, as the result is one row; only the prefixes of its chunks go there.
+    The text of a document comes in one piece, number 0, or, if it has more than most_chars characters, in pieces
+    from 0 that make it up in order: the chunks of a range of ord each. No row holds more than that, or than a range.
     """
-    pieces = chunks.select("doc_id", "ord", F.when(F.col("domain") != "", F.col("domain")).alias("domain"), F.substring("text", 1, DOC_PREFIX).alias("piece"))
-    rows = F.array_sort(F.collect_list(F.struct("ord", "piece")))
-    return pieces.groupBy("doc_id").agg(
-        F.min("ord").alias("ord"), F.coalesce(F.max_by("domain", F.when(F.col("domain").isNotNull(), F.col("ord"))), F.lit("")).alias("domain"),
-        F.concat(F.lit(" "), F.array_join(F.transform(rows, lambda r: r["piece"]), " ")).alias("text"),
+    heads = chunks.select("doc_id", "ord", "domain", F.substring("text", 1, DOC_PREFIX).alias("piece"), F.floor(F.col("ord") / TEXT_RANGE).alias("range"))
+    joined = lambda c: F.concat(F.lit(" "), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", c))), lambda r: r[c]), " "))
+    ranges = heads.groupBy("doc_id", "range").agg(F.min("ord").alias("ord"), joined("piece").alias("text"))
+    ranges = materialize(ranges, "ranges")
+    facts = ranges.groupBy("doc_id").agg(F.min("ord").alias("first"), F.sum(F.length("text")).alias("size"))
+    facts = materialize(facts.join(document_heads(chunks).select("doc_id", "domain"), "doc_id"), "documents")
+    rows = ranges.join(facts, "doc_id")
+    whole = rows.where(F.col("size") <= most_chars).groupBy("doc_id").agg(
+        F.lit(0).alias("piece"), F.first("first").alias("ord"), F.first("domain").alias("domain"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda r: r["text"]), "").alias("text")
     )
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("range")) - 1
+    parts = rows.where(F.col("size") > most_chars).select("doc_id", place.alias("piece"), F.col("first").alias("ord"), "domain", "text")
+    return whole.unionByName(parts)
 
 
 def candidate_documents(questions: DataFrame, chunks: DataFrame, doc_k: int = DOC_K) -> DataFrame:
     """(qid, doc_id): the documents a question names, or else those recalled for it."""
-    named = F.size(F.coalesce("doc_ids", F.array().cast("array<string>"))) > 0
-    given = questions.where(named).select("qid", F.explode("doc_ids").alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct()
-    return given.unionByName(recall_documents(chunks, questions.where(~named), doc_k).select("qid", "doc_id"))
+    return recalled(chunks, questions, doc_k).select("qid", "doc_id")
 
 
-def keyword_search(chunks: DataFrame, queries: DataFrame, restrict: DataFrame, most: int = BM25_K) -> DataFrame:
+def keyword_search(chunks: DataFrame, queries: DataFrame, restrict: DataFrame) -> DataFrame:
     """The best chunks of each query by keyword score, among the documents of `restrict` (query, doc_id).
 
-    queries: query, text, domain, k (at most `most`), signals. Result: query, ord, score, rank; ties go by ord. Terms
-    of all queries are matched against each chunk once; queries meet chunks by term and document. A query without
-    documents in `restrict` is searched over all chunks that its domain meets.
+    queries: query, text, domain, k, signals. Result: query, ord, score, rank; ties go by ord. Terms of all queries are
+    matched against each chunk once. A query without documents in `restrict` is searched over all chunks that its domain meets.
     """
-    asked = queries.select("query", F.col("domain").alias("asked"), F.col("signals").alias("s"))
+    asked = queries.select("query", F.col("domain").alias("asked"), F.col("signals").alias("s"), F.col("k").cast("int").alias("k"))
     wanted = materialize(signal_weights(asked, "query"), "wanted")
-    own = own_terms(chunks.sparkSession)
-    found = match_terms(chunks.select("ord", "text"), all_wanted(wanted, own), "ord")
-    held = materialize(found.join(chunks.select("ord", "doc_id", "domain"), "ord"), "held")
-    bound = restrict.select("query").distinct()
-    within = held.join(wanted.join(restrict, "query"), ["kind", "term", "doc_id"]).select("query", "asked", "ord", "domain", "weight")
-    anywhere = held.join(wanted.join(bound, "query", "left_anti"), ["kind", "term"]).select("query", "asked", "ord", "domain", "weight")
-    by_terms = within.unionByName(anywhere).where(DOMAINS_MEET).groupBy("query", "asked", "ord").agg(F.sum("weight").alias("gain"))
-    bonus = materialize(
-        held.where("kind = 'plain'").join(F.broadcast(own), "term").where(DOMAINS_MEET)
-        .groupBy("asked", "doc_id", "ord").agg((F.count("*") * rules.DOMAIN_WEIGHT).alias("bonus")), "bonus",
-    )
-    # chunks with nothing but a bonus: the best of each document are enough, and of all where no document is asked for
-    leading = Window.partitionBy("asked", "doc_id").orderBy(F.desc("bonus"), "ord")
-    fronts = bonus.withColumn("n", F.row_number().over(leading)).where(F.col("n") <= most).select("asked", "doc_id", "ord", "bonus")
-    first = fronts.withColumn("n", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("bonus"), "ord"))).where(F.col("n") <= most)
-    by_bonus = asked.select("query", "asked").join(restrict, "query").join(fronts, ["asked", "doc_id"]).select("query", "asked", "ord", F.lit(0.0).alias("gain"))
-    by_any_bonus = asked.select("query", "asked").join(bound, "query", "left_anti").join(first, "asked").select("query", "asked", "ord", F.lit(0.0).alias("gain"))
-    gains = by_terms.unionByName(by_bonus).unionByName(by_any_bonus).groupBy("query", "asked", "ord").agg(F.sum("gain").alias("gain"))
-    scored = gains.join(bonus.select("asked", "ord", "bonus"), ["asked", "ord"], "left").join(queries.select("query", "k"), "query")
-    scored = scored.select("query", "ord", "k", F.round(F.col("gain") + F.coalesce("bonus", F.lit(0.0)), 6).alias("score")).where("score > 0")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "ord")
-    return scored.withColumn("rank", F.row_number().over(best)).where("rank <= k").drop("k")
+    stated = numbered_terms(wanted)
+    held = materialize(match_terms(chunks.select("ord", "doc_id", "domain", "text"), stated), "held")
+    return search_within(held, terms_of_queries(wanted, stated, ["query"]).join(asked.select("query", "asked", "k"), "query"), restrict)
 
 
 def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K, index: Bm25Index | None = None, doc_k: int = DOC_K) -> DataFrame:
@@ -97,7 +87,7 @@ def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K,
     rank, but it keeps the place of the first; of chunks with equal first 120 characters the best stays.
     A question without candidate documents is searched over all chunks that its domain meets.
     """
-    chunks = materialize(chunks, "chunks")
+    chunks = materialize(chunks.withColumn("bare", compact(F.col("text"))), "chunks")
     questions = materialize(distinct_questions(questions), "questions")
     index = index or Bm25Index.build(chunks).kept()
     signals = rules.extract_signals(F.col("text"), F.col("domain"))
@@ -107,14 +97,14 @@ def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K,
     lexical = index.search(queries.select("query", "text", "domain", "k"), restrict, "k").select("query", "ord", "score", "rank", F.lit(0).alias("search"))
     keyword = keyword_search(chunks, queries, restrict).select("query", "ord", "score", "rank", F.lit(1).alias("search"))
     hits = lexical.unionByName(keyword).join(queries.select("query", "qid", "place", "option", "query_source", "signals"), "query")
-    hits = hits.join(chunks.select("ord", "chunk_id", "doc_id", F.col("domain").alias("chunk_domain"), "text", "original_text"), "ord")
-    gain = lambda name, most, weight: F.least(F.size(matched_terms(F.col("text"), F.col("signals")[name])), F.lit(most)) * weight
+    hits = hits.join(chunks.select("ord", "chunk_id", "doc_id", F.col("domain").alias("chunk_domain"), "text", "original_text", "bare"), "ord")
+    gain = lambda name, most, weight: F.least(F.size(matched_in(F.col("bare"), F.col("signals")[name])), F.lit(most)) * weight
     bonus = gain("clauses", 3, 3.0) + gain("numbers", 5, 2.0) + gain("dates", 3, 1.0)
     factor = F.when(F.col("search") == 1, KEYWORD_FACTOR).otherwise(1.0)
     hits = hits.select(
         "qid", "ord", "chunk_id", "doc_id", "chunk_domain", "text", "original_text", "query_source", "option",
         F.round(F.col("score") * factor + bonus, 6).alias("score"), F.when(F.col("search") == 1, "keyword").otherwise("bm25").alias("source"),
-        matched_terms(F.col("text"), rules.all_terms(F.col("signals"))).alias("matched_terms"),
+        "bare", "signals",
         F.struct("place", "search", "rank").alias("at"),
     )
     by_chunk = Window.partitionBy("qid", "ord")
@@ -125,7 +115,8 @@ def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K,
     ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "first_at"))).where(F.col("rank") <= top_k)
     shown = normalize(F.coalesce(F.when(F.col("original_text") != "", F.col("original_text")), F.col("text")))
     return ranked.select(
-        "qid", "rank", "doc_id", "chunk_id", F.col("chunk_domain").alias("domain"), F.substring(shown, 1, EVIDENCE_CHARS).alias("text"), "score", "source", "query_source", "option", "matched_terms"
+        "qid", "rank", "doc_id", "chunk_id", F.col("chunk_domain").alias("domain"), F.substring(shown, 1, EVIDENCE_CHARS).alias("text"), "score", "source", "query_source", "option",
+        matched_in(F.col("bare"), rules.all_terms(F.col("signals"))).alias("matched_terms"),
     )
 
 

@@ -220,7 +220,7 @@ def bm25_filtered_topk(spark, d):
 @query(S.build("docs", "SELECT doc_id, ord, domain, md5(text) AS text FROM docs"))
 def document_texts(spark, d):
     """A8, A9."""
-    return retrieve.document_texts(corpus(spark, d)).withColumn("text", F.md5("text"))
+    return retrieve.document_texts(corpus(spark, d)).drop("piece").withColumn("text", F.md5("text"))
 
 
 @query(S.build("recall", "SELECT qid, doc_id, domain, score, rank FROM recall"))

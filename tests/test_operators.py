@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscan.functions import rules
-from folioscan.operators import chunking, evaluate, recall, retrieve, structure
+from folioscan.operators import chunking, evaluate, recall, retrieve, scoring, structure
 from folioscan.operators.bm25 import Bm25Index
 from folioscan.sources import files, json_tables, sinks
 from folioscan.streaming.traces import run_token_windows, token_windows
@@ -114,12 +114,93 @@ def test_bm25(spark, tmp_path):
     assert empty.search(asked).count() == 0 and empty.corpus.first().avgdl == 0.0
 
 
-def test_match_terms_in_blocks(spark):
-    pieces = spark.createDataFrame([("a", "利率为5 %"), ("a", None), ("b", "到期日")], "doc_id string, text string")
-    terms = spark.createDataFrame([("plain", "利率"), ("bare", "5%"), ("plain", "5%"), ("plain", "期"), ("plain", ""), ("plain", "率为")], "kind string, term string")
-    want = {("a", "plain", "利率"), ("a", "bare", "5%"), ("b", "plain", "期"), ("a", "plain", "率为")}
-    for size in (1, 2, 100):
-        assert {tuple(r) for r in recall.match_terms(pieces, terms, block_terms=size).collect()} == want
+def test_search_uses_the_tokenizer_of_its_index(spark, tmp_path):
+    letters = lambda c: F.split(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), "")
+    rows = chunk_table(spark, [(0, "c0", "d", "", "ab"), (1, "c1", "d", "", "bc")])
+    index = Bm25Index.build(rows, letters)
+    asked = spark.createDataFrame([("q", "cz", "")], "query string, text string, domain string")
+    assert [r.ord for r in index.search(asked).collect()] == [1] == [r.ord for r in index.kept().search(asked).collect()]
+    index.save(str(tmp_path / "ix"))
+    assert [r.ord for r in Bm25Index.load(spark, str(tmp_path / "ix"), tokenizer=letters).search(asked).collect()] == [1]
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_match_terms_in_blocks(spark, monkeypatch, size):
+    monkeypatch.setattr(scoring, "BLOCK_CHARS", size)
+    pieces = spark.createDataFrame([("a", 1, "利率为5 %"), ("a", 2, None), ("b", 3, "到期日"), ("c", 4, "")], "doc_id string, ord long, text string")
+    terms = scoring.numbered_terms(spark.createDataFrame([("plain", "利率"), ("bare", "5%"), ("plain", "5%"), ("plain", "期"), ("plain", ""), ("plain", "率为"), ("plain", None)], "kind string, term string"))
+    of = {r.term_id: (r.kind, r.term) for r in terms.collect()}
+    assert len(of) == 5
+    got = {(r.ord, of[t]) for r in scoring.match_terms(pieces, terms).collect() for t in r.terms}
+    assert got == {(1, ("plain", "利率")), (1, ("bare", "5%")), (3, ("plain", "期")), (1, ("plain", "率为"))}
+    joined = {(r.doc_id, of[t]) for r in scoring.match_joined(pieces, terms).collect() for t in r.terms}
+    assert joined == {("a", x) for x in (("plain", "利率"), ("bare", "5%"), ("plain", "率为"))} | {("b", ("plain", "期"))}
+
+
+@pytest.mark.parametrize("size", [9, 10_000])
+def test_terms_that_reach_over_many_texts_are_found(spark, monkeypatch, size):
+    """Terms of all lengths against the joined text, with ranges that end within documents."""
+    monkeypatch.setattr(scoring, "BLOCK_CHARS", size)
+    rng = random.Random(6)
+    docs = {f"d{k}": [" ".join("".join(rng.choices("ab1", k=rng.randint(1, 4))) for _ in range(rng.randint(1, 3))) for _ in range(n)] for k, n in enumerate((400, 1, 7, 60))}
+    rows = [(d, i, t) for d, ts in docs.items() for i, t in enumerate(ts)]
+    pieces = spark.createDataFrame(rows, "doc_id string, ord long, text string").repartition(5)
+    texts = {d: " ".join(ts) for d, ts in docs.items()}
+    wanted = [("plain", texts["d0"][i : i + n].strip()) for i in range(0, 300, 41) for n in (3, 9, 30)] + [("bare", texts["d3"].replace(" ", "")[i : i + 12]) for i in range(0, 90, 7)] + [("bare", "a b"), ("plain", "zz")]
+    terms = scoring.numbered_terms(spark.createDataFrame(wanted, "kind string, term string"))
+    of = {r.term_id: (r.kind, r.term) for r in terms.collect()}
+    got = {(r.doc_id, of[t]) for r in scoring.match_joined(pieces, terms).collect() for t in r.terms}
+    bare = lambda t: t.replace(" ", "")
+    assert got == {(d, (k, t)) for d, text in texts.items() for k, t in of.values() if (t in text if k == "plain" else bare(t) in bare(text))}
+
+
+@pytest.mark.parametrize("part_rows,pairs", [(3, 20), (5, 4_000_000), (4096, 50), (4096, 4_000_000)])
+def test_best_texts_equal_brute_force(spark, monkeypatch, part_rows, pairs):
+    """A hot document with a hot set of queries, small ones, ties, other domains; in blocks and steps of any size."""
+    monkeypatch.setattr(scoring, "STEP_PAIRS", pairs)
+    rng = random.Random(9)
+    texts = [(rng.choice(["hot", "hot", "d1", "d2", "d3"]), i, rng.choice(["", "x", "y"]), sorted(rng.sample(range(12), rng.randint(1, 6)))) for i in range(60)]
+    texts = [(*t, [rng.choice([1.0, 2.5]) for _ in t[3]]) for t in texts]
+    queries = [(q, rng.choice(["", "x", None]), d, rng.randint(1, 6), ts := rng.sample(range(14), rng.randint(1, 5)), [rng.choice([0.3, 1.1]) for _ in ts]) for q in range(25) for d in {"hot", rng.choice(["d1", "d2", "none"])}]
+    queries = [(q, ds[0][1], *x[2:3], ds[0][3], ds[0][4], ds[0][5]) for q, ds in ((q, [x for x in queries if x[0] == q]) for q in range(25)) for x in ds]
+    want = {}
+    for q in range(25):
+        mine = [x for x in queries if x[0] == q]
+        _, asked, _, k, terms, weights = mine[0]
+        found = []
+        for d, i, domain, held, gains in texts:
+            score = round(sum(w * gains[held.index(t)] for t, w in zip(terms, weights) if t in held), 6)
+            if d in {x[2] for x in mine} and score > 0 and (not asked or domain in ("", asked)):
+                found.append((-score, i))
+        want[q] = [(i, -s) for s, i in sorted(found)[:k]]
+    left = spark.createDataFrame(texts, "doc_id string, ord long, domain string, terms array<long>, gains array<double>")
+    right = spark.createDataFrame(queries, "query long, asked string, doc_id string, k int, terms array<long>, weights array<double>")
+    got = {q: [] for q in range(25)}
+    for r in scoring.best_texts(left, right, part_rows).orderBy("query", "rank").collect():
+        got[r["query"]].append((r.ord, r.score))
+    assert got == want
+    assert scoring.best_texts(left.limit(0), right).count() == 0 and scoring.best_texts(left, right.limit(0)).count() == 0
+
+
+def test_documents_that_are_named(spark):
+    chunks = chunk_table(spark, [(0, "c0", "d0", "research", "产能增长"), (1, "c1", "doc_7", "insurance", "别的"), (2, "c2", "d2", "", "产能")])
+    questions = retrieve.distinct_questions(spark.createDataFrame([
+        ("q1", "research", "A", "x", None, "mcq", None, ["d2", "d0", None, "d2"]), ("q2", "research", "B", "产能 doc_7", None, "mcq", None, []), ("q3", None, "B", "见 doc_7", None, "mcq", None, None),
+    ], QUESTION))
+    got = {r.qid: [] for r in questions.collect()}
+    for r in recall.recalled(chunks, questions).orderBy("qid", "rank").collect():
+        got[r.qid].append((r.doc_id, r.score, r.source[0], r.domain))
+    assert got["q1"] == [("d2", 999.0, "p", "research"), ("d0", 999.0, "p", "research")]
+    assert [x[0] for x in got["q2"]] == ["d0", "d2"] and got["q3"] == [("doc_7", 5.0, "d", "insurance")]
+
+
+def test_texts_of_large_documents_come_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(retrieve, "TEXT_RANGE", 3)
+    chunks = chunk_table(spark, [(i, f"c{i}", "a" if i else "b", "x" if i == 2 else "", f"t{i}") for i in (4, 0, 2, 7, 1)])
+    whole = {r.doc_id: r for r in retrieve.document_texts(chunks).collect()}
+    assert whole["a"].text == " t1 t2 t4 t7" and whole["a"].domain == "x" and whole["a"].ord == 1 and whole["b"].text == " t0" and {r.piece for r in whole.values()} == {0}
+    parts = sorted((r.doc_id, r.piece, r.text) for r in retrieve.document_texts(chunks, 5).collect())
+    assert parts == [("a", 0, " t1 t2"), ("a", 1, " t4"), ("a", 2, " t7"), ("b", 0, " t0")]
 
 
 QUESTION = "qid string, domain string, split string, question string, options map<string,string>, answer_format string, type string, doc_ids array<string>"
@@ -156,7 +237,7 @@ def test_questions_that_recall_no_document_search_all_chunks(spark):
     found = {(r["query"].qid, r.ord) for r in retrieve.keyword_search(chunks, texts, restrict).collect()}
     assert found == {("q1", 0), ("q1", 2), ("q1", 4), ("q2", 2), ("q3", 0), ("q3", 2), ("q3", 4)}
     bonus = texts.where("qid = 'q1'").withColumn("domain", F.lit("insurance")).withColumn("signals", rules.extract_signals(F.lit("zz"), F.lit("")))
-    own = [r.term for r in recall.own_terms(spark).where("asked = 'insurance'").collect()]
+    own = rules.DOMAIN_TERMS["insurance"]
     fillers = chunk_table(spark, [(i, f"b{i}", f"e{i % 3}", "insurance", own[0] + (own[1] if i == 7 else "")) for i in range(40)])
     ranked = sorted((r.rank, r.ord) for r in retrieve.keyword_search(fillers, bonus, restrict.limit(0)).collect())
     assert [o for _, o in ranked] == [7, *range(7), *range(8, 30)]
