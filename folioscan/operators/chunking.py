@@ -74,14 +74,21 @@ def search_chunks(chunks: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
-def chunks_from_segments(segments: DataFrame, domain: Column, max_chars: int = MAX_CHARS) -> DataFrame:
-    """Chunks of segments: headings, title, headings as keywords and text, normalized and split.
+def split_segments(segments: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
+    """Chunks of segments (doc_id, page, segment, title, text, above, keywords and others, which are kept).
 
-    chunk_id is doc:p<page>:s<segment>:c<part>.
+    Headings above, title, keywords and text, normalized, without empty ones, are put together and split; above and keywords
+    are arrays. A segment without text has none. chunk_id is doc:p<page>:s<segment>:c<part>.
     """
-    above = F.array_join(F.array(*(normalize(F.col(f"h_{n}")) for n in LEVELS)), " ")
-    whole = F.concat_ws("\n", *(F.when(c != "", c) for c in (normalize(above), normalize("title"), normalize(above), normalize("text"))))
-    parts = segments.where(normalize("text") != "").select(
-        "doc_id", domain.alias("domain"), "page", "segment", "title", F.col("text").alias("original_text"), F.posexplode(split_long_text(whole, max_chars)).alias("part", "text")
-    )
+    words = lambda c: normalize(F.array_join(F.transform(F.filter(c, lambda x: x != ""), normalize), " "))
+    whole = F.concat_ws("\n", *(F.when(c != "", c) for c in (words("above"), normalize("title"), words("keywords"), normalize("text"))))
+    keep = [c for c in segments.columns if c not in ("above", "keywords", "text")]
+    parts = segments.where(normalize("text") != "").select(*keep, normalize("text").alias("original_text"), F.posexplode(split_long_text(whole, max_chars)).alias("part", "text"))
     return parts.withColumn("chunk_id", F.format_string("%s:p%d:s%d:c%d", "doc_id", "page", "segment", "part"))
+
+
+def chunks_from_segments(segments: DataFrame, domain: Column, max_chars: int = MAX_CHARS) -> DataFrame:
+    """Chunks of segments as structure.segments has them; the headings above are the keywords too."""
+    above = F.array(*(F.coalesce(F.col(f"h_{n}"), F.lit("")) for n in LEVELS))
+    rows = segments.select("doc_id", domain.alias("domain"), "page", "segment", "title", "text", above.alias("above"), above.alias("keywords"))
+    return split_segments(rows, max_chars)

@@ -79,20 +79,22 @@ def keyword_search(chunks: DataFrame, queries: DataFrame, restrict: DataFrame) -
     return search_within(held, terms_of_queries(wanted, stated, ["query"]).join(asked.select("query", "asked", "k"), "query"), restrict)
 
 
-def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K, index: Bm25Index | None = None, doc_k: int = DOC_K) -> DataFrame:
+def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K, index: Bm25Index | None = None, doc_k: int = DOC_K,
+                   candidates: DataFrame | None = None) -> DataFrame:
     """The evidence of every question: qid, rank and the chunk with its score and matched terms.
 
     Hits of BM25 and of keywords, for the question and for each of its options, gain for clauses, numbers
     and dates that they contain. Of the hits of one chunk the best stays, of equal ones the first in order of query, search and
     rank, but it keeps the place of the first; of chunks with equal first 120 characters the best stays.
-    A question without candidate documents is searched over all chunks that its domain meets.
+    A question without candidate documents is searched over all chunks that its domain meets. candidates (qid, doc_id): those of
+    candidate_documents, if they are known already.
     """
     chunks = materialize(chunks.withColumn("bare", compact(F.col("text"))), "chunks")
     questions = materialize(distinct_questions(questions), "questions")
     index = index or Bm25Index.build(chunks).kept()
     signals = rules.extract_signals(F.col("text"), F.col("domain"))
     queries = materialize(question_texts(questions).withColumn("signals", signals), "queries")
-    restrict = queries.select("qid", "query").join(candidate_documents(questions, chunks, doc_k), "qid").select("query", "doc_id")
+    restrict = queries.select("qid", "query").join(candidates if candidates is not None else candidate_documents(questions, chunks, doc_k), "qid").select("query", "doc_id")
     restrict = materialize(restrict, "restrict")
     lexical = index.search(queries.select("query", "text", "domain", "k"), restrict, "k").select("query", "ord", "score", "rank", F.lit(0).alias("search"))
     keyword = keyword_search(chunks, queries, restrict).select("query", "ord", "score", "rank", F.lit(1).alias("search"))
@@ -122,7 +124,7 @@ def fused_evidence(chunks: DataFrame, questions: DataFrame, top_k: int = TOP_K,
 
 def evidence_by_question(evidence: DataFrame) -> DataFrame:
     """K5: (qid, evidence): a question's evidence as one array in order of rank; at most top_k items a question."""
-    item = F.struct("rank", "doc_id", F.lit(None).cast("int").alias("page"), "chunk_id", "text", "score", "source", "query_source")
+    item = F.struct("rank", "doc_id", F.lit(None).cast("int").alias("page"), "chunk_id", "domain", "text", "score", "source", "query_source", "option", "matched_terms")
     return evidence.groupBy("qid").agg(F.array_sort(F.collect_list(item)).alias("evidence"))
 
 

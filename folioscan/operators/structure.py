@@ -87,8 +87,8 @@ def segments(pages: DataFrame) -> DataFrame:
 
     A segment starts at a heading or at the first line of a page, where a short line of letters is a heading too.
     Headings last until one of a higher level; one of the first line of a page ('heading') stands apart. A
-    segment that starts without heading is titled by the deepest one. The running state is a window over starts of
-    segments only, without texts, which meet it again by page and segment.
+    segment that starts without heading is titled by the deepest one. The running state (heading_state) is found over starts
+    of segments only, without texts, which meet it again by page and segment.
     """
     content = with_lines(pages).where(X.has_meaningful_text("text") & ~is_toc_page(F.col("lines")))
     line = lambda i: F.element_at("lines", i)
@@ -103,24 +103,38 @@ def segments(pages: DataFrame) -> DataFrame:
         F.coalesce(level, F.when(generic, "heading")).alias("level"), F.coalesce(X.heading_title(first), F.when(generic, first)).alias("own_title"),
     )
     cut = materialize(cut, "segments")  # read twice: with texts and without
-    order = Window.partitionBy("doc_id").orderBy("page", "segment")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = cut.select("doc_id", "page", "segment", "level", "own_title").withColumn("place", F.row_number().over(order))
-    for name in LEVELS:
-        mine = F.col("level") == name
-        state = state.withColumn(f"p_{name}", F.max(F.when(mine, F.col("place"))).over(so_far)).withColumn(
-            f"t_{name}", F.last(F.when(mine, F.col("own_title")), ignorenulls=True).over(so_far)
-        )
-    valid = {"heading": F.col("t_heading")}
+    state = heading_state(cut.select("doc_id", "page", "segment", "level", "own_title"))
+    return cut.select("doc_id", "page", "segment", "text").join(state, ["doc_id", "page", "segment"])
+
+
+def heading_state(starts: DataFrame) -> DataFrame:
+    """doc_id, page, segment, title and h_<level> of starts of segments (doc_id, page, segment, level, own_title).
+
+    The state of headings is the last title and its place of each level, and two stretches of a document make one by taking the
+    later of each. So starts lie in ranges of the document's order, the state after each range is an aggregate, a window over
+    ranges (a row each) hands every range the state before it, and only within its range is a start looked at in order.
+    """
+    spark = starts.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = starts.repartitionByRange(ranges, "doc_id", "page", "segment").withColumn("block", F.spark_partition_id()).withColumn("place", F.struct("page", "segment"))
+    rows = materialize(rows, "starts")
+    mine = lambda name: F.when(F.col("level") == name, F.struct("place", F.col("own_title").alias("title")))
+    after = rows.groupBy("doc_id", "block").agg(*(F.max_by(mine(n), F.when(F.col("level") == n, F.col("place"))).alias(f"s_{n}") for n in LEVELS))
+    before = Window.partitionBy("doc_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = materialize(after.select("doc_id", "block", *(F.last(f"s_{n}", ignorenulls=True).over(before).alias(f"c_{n}") for n in LEVELS)), "carried")
+    so_far = Window.partitionBy("doc_id", "block").orderBy("page", "segment").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = rows.join(carried, ["doc_id", "block"])
+    state = state.withColumns({f"x_{n}": F.coalesce(F.last(mine(n), ignorenulls=True).over(so_far), F.col(f"c_{n}")) for n in LEVELS})
+    valid = {"heading": F.col("x_heading.title")}
     for i, name in enumerate(LEVELS[1:], start=1):
-        above = [F.coalesce(F.col(f"p_{h}"), F.lit(0)) for h in LEVELS[1:i]]
-        highest = F.greatest(F.lit(0), *above) if above else F.lit(0)
-        valid[name] = F.when(F.col(f"p_{name}") > highest, F.col(f"t_{name}"))
-    state = state.select(
+        above = [F.col(f"x_{h}.place") for h in LEVELS[1:i]]
+        highest = F.greatest(*above) if len(above) > 1 else above[0] if above else F.lit(None)
+        lasts = highest.isNull() | (F.col(f"x_{name}.place") > highest) if above else F.lit(True)
+        valid[name] = F.when(lasts, F.col(f"x_{name}.title"))
+    return state.select(
         "doc_id", "page", "segment", F.coalesce("own_title", *(valid[n] for n in reversed(LEVELS)), F.lit("")).alias("title"),
         *(valid[n].alias(f"h_{n}") for n in LEVELS),
     )
-    return cut.select("doc_id", "page", "segment", "text").join(state, ["doc_id", "page", "segment"])
 
 
 def build_documents(pages: DataFrame) -> DataFrame:
@@ -130,3 +144,27 @@ def build_documents(pages: DataFrame) -> DataFrame:
     return stripped.groupBy("doc_id").agg(F.count("*").alias("page_count")).join(counts, "doc_id", "left").select(
         "doc_id", "page_count", F.coalesce("segment_count", F.lit(0)).alias("segment_count"), F.coalesce("char_count", F.lit(0)).alias("char_count")
     )
+
+
+def document_records(pages: DataFrame) -> DataFrame:
+    """doc_id, page_count, toc, pages (page, page_type, segments of title, text, hierarchy and keywords) and char_count, a row a document.
+
+    For documents that came as one file each; of larger ones segments() has the rows.
+    """
+    stripped = materialize(strip_page_edges(pages), "pages")
+    above = F.filter(F.array(*(F.struct(F.lit(n).alias("key"), F.col(f"h_{n}").alias("value")) for n in LEVELS)), lambda x: F.coalesce(x["value"], F.lit("")) != "")
+    segment = F.struct("title", "text", F.map_from_entries(above).alias("hierarchy"), F.transform(above, lambda x: x["value"]).alias("keywords"))
+    # structs that hold maps have no order, so items are put in order by their numbers
+    in_order = lambda numbered: F.transform(F.array_sort(F.map_keys(numbered)), lambda n: F.element_at(numbered, n))
+    by_page = segments(stripped).groupBy("doc_id", "page").agg(F.map_from_entries(F.collect_list(F.struct("segment", segment.alias("s")))).alias("found"), F.sum(F.length("text")).alias("chars"))
+    none = F.expr("cast(array() AS array<struct<title:string,text:string,hierarchy:map<string,string>,keywords:array<string>>>)")
+    rows = page_types(stripped).join(by_page, ["doc_id", "page"], "left")
+    listed = F.struct("page", "page_type", F.coalesce(in_order(F.col("found")), none).alias("segments"))
+    made = rows.groupBy("doc_id").agg(
+        F.count("*").alias("page_count"), F.map_from_entries(F.collect_list(F.struct("page", listed.alias("p")))).alias("by_page"), F.coalesce(F.sum("chars"), F.lit(0)).alias("char_count"),
+    )
+    made = made.withColumn("pages", in_order(F.col("by_page"))).drop("by_page")
+    entry = F.struct("source_page", "line_no", "title", "target_page")
+    toc = toc_entries(stripped).groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("toc"))
+    shown = F.transform(F.coalesce("toc", F.expr("cast(array() AS array<struct<source_page:int,line_no:int,title:string,target_page:int>>)")), lambda t: F.struct(t["title"].alias("title"), t["target_page"].alias("target_page"), t["source_page"].alias("source_page")))
+    return made.join(toc, "doc_id", "left").select("doc_id", "page_count", shown.alias("toc"), "pages", "char_count")

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscan import jobs
 from folioscan.functions import answers as A
 from folioscan.functions import rules as R
 from folioscan.functions import text as X
 from folioscan.operators import chunking, evaluate, recall, retrieve, structure
 from folioscan.operators.bm25 import Bm25Index
 from folioscan.plans import sql as S
-from folioscan.session import materialize, table
-from folioscan.sources import files, json_tables
+from folioscan.session import materialize, shared_folder, table
+from folioscan.sources import files, json_tables, sinks
 from folioscan.streaming.traces import run_token_windows
 
 _QUERIES: dict = {}
@@ -75,7 +79,7 @@ def line_flags(spark, d):
     return lines.select("doc_id", "page", F.col("line_no").cast("long").alias("line_no"), X.is_page_marker(x).alias("page_marker"), X.is_generic_heading(x).alias("generic"), X.is_toc_line(x).alias("toc"), X.heading_level(x).alias("level"), X.heading_title(x).alias("title"))
 
 
-@query(S.build("one", f"SELECT chunk_id, md5({S.strip('''regexp_replace(regexp_replace(translate(coalesce(text, ''), chr(12288) || chr(160), '  '), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')''')}) AS cleaned FROM one"))
+@query(S.build("one", f"SELECT chunk_id, md5({S.cleaned('text')}) AS cleaned FROM one"))
 def cleaned_text(spark, d):
     """F2."""
     return table(spark, d, "chunks").select("chunk_id", "text").dropDuplicates(["chunk_id"]).select("chunk_id", F.md5(X.clean_text("text")).alias("cleaned"))
@@ -149,9 +153,12 @@ def page_types(spark, d):
     return structure.page_types(structure.strip_page_edges(pages(spark, d))).withColumn("n_lines", F.col("n_lines").cast("long"))
 
 
-@query(S.build("typed", f"""SELECT doc_id, source_page, line_no, {S.strip("regexp_extract(t, '" + S.rx(X.TOC_ENTRY) + "', 1)")} AS title, TRY_CAST(regexp_extract(t, '{S.rx(X.TOC_ENTRY)}', 2) AS INTEGER) AS target_page FROM (
+_TOC = f"""SELECT doc_id, source_page, line_no, {S.strip("regexp_extract(t, '" + S.ENTRY + "', 1)")} AS title, TRY_CAST(regexp_extract(t, '{S.ENTRY}', 2) AS INTEGER) AS target_page FROM (
     SELECT doc_id, page AS source_page, i - 1 AS line_no, line, {S.norm('line')} AS t FROM (SELECT doc_id, page, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM typed WHERE {S.toc_page('l')}))
-    WHERE line <> '目录' AND {S.is_toc('line')} AND regexp_matches(t, '{S.rx(X.TOC_ENTRY)}')"""))
+    WHERE line <> '目录' AND {S.is_toc('line')} AND regexp_matches(t, '{S.ENTRY}')"""
+
+
+@query(S.build("typed", _TOC))
 def toc_entries(spark, d):
     """F10, W5."""
     return structure.toc_entries(structure.strip_page_edges(pages(spark, d))).withColumn("line_no", F.col("line_no").cast("long"))
@@ -259,6 +266,242 @@ def near_copy_prefix_dedupe(spark, d):
     return retrieve.prefix_dedupe(corpus(spark, d))
 
 
+# --- files and jobs ---------------------------------------------------------------------------------------------
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/folioscan/{name}-{uuid.uuid4().hex}"
+
+
+def raw_files(spark: SparkSession, d: str) -> str:
+    """A folder of raw files of a domain: documents as text, every third also as a PDF that must not be chosen, and the chunks of documents as volumes of 50 pages in PDF (whose pages a reader of JSON gives back)."""
+    documents = table(spark, d, "documents").select(F.concat(F.lit("doc_"), "doc_id").alias("name"), F.coalesce("text", F.lit("")).alias("content"), "doc_id")
+    volume = F.md5(F.concat("doc_id", F.lit("-"), F.floor(F.col("chunk_index") / 50).cast("string"))).alias("name")
+    chunks = table(spark, d, "chunks").dropDuplicates(["chunk_id"]).select(volume, "chunk_index", F.coalesce("text", F.lit("")).alias("text"))
+    volumes = chunks.groupBy("name").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))), lambda x: x["text"])).alias("content"))  # 50 at most
+    text = documents.select(F.concat("name", F.lit(".txt")).alias("path"), "content")
+    twice = documents.where("doc_id % 3 = 0").select(F.concat(F.lit("a/"), "name", F.lit(".PDF")).alias("path"), F.lit('["not this"]').alias("content"))
+    to = folder(spark, "raw")
+    within = lambda rows: rows.withColumn("path", F.concat(F.lit("research/"), "path"))
+    sinks.write_each(within(text.unionByName(twice).unionByName(volumes.select(F.concat("name", F.lit(".pdf")).alias("path"), "content"))), to)
+    return to
+
+
+def json_pages(content: bytes) -> list[str]:
+    return json.loads(content)
+
+
+def processed(spark: SparkSession, d: str) -> str:
+    """The raw files as a processed root."""
+    raw, to = raw_files(spark, d), folder(spark, "processed")
+    asked = f"{to}/questions/group_a/research_questions.json"
+    sinks.write_each(spark.createDataFrame([("group_a/research_questions.json", "[]")], "path string, content string"), f"{to}/questions")
+    config = jobs.ProcessConfig(raw, asked, f"{to}/out", reader=json_pages)
+    jobs.process(spark, config)
+    return config.output_subdir
+
+
+@query(S.build("rawpages", "SELECT doc_id, page, md5(text) AS text FROM rawpages", S.RAW_PAGES))
+def raw_pages(spark, d):
+    """Pages of a folder of raw files."""
+    return files.read_pages(spark, raw_files(spark, d), reader=json_pages).withColumn("text", F.md5("text"))
+
+
+_TOCS = f"SELECT doc_id, count(*) AS n_toc FROM ({_TOC}) GROUP BY doc_id"
+
+
+@query(S.build("rawpages stripped state typed", f"""SELECT p.doc_id, 'research' AS domain, page_count, CAST(coalesce(char_count, 0) AS BIGINT) AS char_count, kind AS source_type, coalesce(n_toc, 0) AS n_toc, coalesce(n_segments, 0) AS n_segments, n_content
+    FROM (SELECT s.doc_id, count(*) AS page_count, any_value(kind) AS kind, count(*) FILTER (page_type = 'content') AS n_content FROM typed s JOIN rawpages r ON r.doc_id = s.doc_id AND r.page = s.page GROUP BY s.doc_id) p
+    LEFT JOIN (SELECT doc_id, count(*) AS n_segments, sum(length(text)) AS char_count FROM state GROUP BY doc_id) s ON s.doc_id = p.doc_id LEFT JOIN ({_TOCS}) t ON t.doc_id = p.doc_id""", S.RAW_PAGES))
+def processed_documents(spark, d):
+    """Raw files processed into document files and an index, both read back."""
+    root = processed(spark, d)
+    documents = json_tables.load_documents(spark, f"{root}/documents")
+    index = spark.read.json(f"{root}/document_index", schema=sinks.INDEX)
+    count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
+    total = F.aggregate("pages", F.lit(0), lambda n, p: n + F.size(p["segments"])).cast("long")
+    rows = documents.select("doc_id", "domain", count("toc").alias("n_toc"), total.alias("n_segments"), count(F.filter("pages", lambda p: p["page_type"] == "content")).alias("n_content"))
+    return rows.join(index.select("doc_id", "page_count", "char_count", "source_type"), "doc_id")
+
+
+_WHOLE = f"concat_ws(chr(10), nullif(above, ''), nullif({S.norm('title')}, ''), nullif(above, ''), nullif({S.norm('text')}, ''))"
+_ABOVE = "array_to_string(list_filter(list_transform([" + ", ".join(f"h_{n}" for n in structure.LEVELS) + f"], lambda x: {S.norm('x')}), lambda x: x <> ''), ' ')"
+_TITLED = "SELECT doc_id, page, segment, text, coalesce(own_title, " + ", ".join(f"h_{n}" for n in reversed(structure.LEVELS)) + ", '') AS title, " + ", ".join(f"h_{n}" for n in structure.LEVELS) + " FROM (SELECT *, " + ", ".join(f"{_valid(n)} AS h_{n}" for n in structure.LEVELS) + " FROM state)"
+_SEGMENTS = {
+    "titled": ("state", f"SELECT *, {_ABOVE} AS above FROM ({_TITLED})"),
+    "plain": ("titled", f"SELECT row_number() OVER () AS ord, doc_id || ':p' || page || ':s' || segment AS chunk_id, {S.norm('text')} AS body, {S.norm(_WHOLE)} AS t FROM titled WHERE {S.norm('text')} <> ''"),
+}
+
+
+@query(S.build("plain", f"{_STEP.replace('SELECT ord, CAST(k', ', found AS (SELECT ord, CAST(k', 1)}) SELECT chunk_id || ':c' || part AS chunk_id, md5(f.text) AS text, md5(body) AS original_text FROM found f JOIN plain p ON p.ord = f.ord".replace("md5(trim(", "(trim(").replace("SELECT ord, 0, md5(t)", "SELECT ord, 0, t"), S.RAW_PAGES | _SEGMENTS, recursive=True))
+def page_chunks(spark, d):
+    """Chunks of processed roots."""
+    rows = jobs.build_chunks(spark, [processed(spark, d)])
+    return rows.select("chunk_id", F.md5("text").alias("text"), F.md5("original_text").alias("original_text"))
+
+
+@query(S.build("typed", _TOC, S.CONTENTS_PAGES))
+def contents_pages(spark, d):
+    """Lines of contents, made of the titles of chunks."""
+    one = table(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    title, number = F.coalesce("section_title", F.lit("无题")), F.col("chunk_index")
+    text = F.concat(F.lit("目录\n"), title, F.lit("......"), number, F.lit("\n第一章 "), title, F.lit(" … "), number + 7, F.lit("\n附录 … "), number)
+    found = structure.toc_entries(structure.strip_page_edges(one.select("doc_id", number.alias("page"), text.alias("text"))))
+    return found.withColumn("line_no", F.col("line_no").cast("long"))
+
+
+@query(S.build("stripped repeated", "SELECT s.doc_id, page, md5(text) AS text, coalesce(n_lines, 0) AS n_lines FROM stripped s LEFT JOIN (SELECT doc_id, count(*) AS n_lines FROM repeated GROUP BY doc_id) r ON r.doc_id = s.doc_id", S.EDGED_PAGES))
+def edged_pages(spark, d):
+    """Pages with a header, a page marker and one of two footers, made of chunks."""
+    one = table(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    number = F.col("chunk_index")
+    text = F.concat(F.lit("年度报告 "), "doc_id", F.lit("\n"), number, F.lit("-"), number + 1, F.lit("\n"), F.coalesce("text", F.lit("")), F.lit("\n内部资料请勿外传 "), number % 2)
+    pages_ = materialize(one.select("doc_id", number.alias("page"), text.alias("text")), "pages")
+    lines = structure.repeated_edge_lines(pages_).groupBy("doc_id").agg(F.count("*").alias("n_lines"))
+    return structure.strip_page_edges(pages_).join(lines, "doc_id", "left").select("doc_id", "page", F.md5("text").alias("text"), F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"))
+
+
+@query(S.build("", f"""SELECT o.chunk_id, o.doc_id, coalesce(o.domain, '') AS domain, md5({S.norm('o.text')}) AS text, section_title FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks) o WHERE {S.norm("coalesce(o.text, '')")} <> ''"""))
+def chunk_files(spark, d):
+    """Chunks as JSON lines, read back with their metadata."""
+    to = folder(spark, "chunk-lines")
+    sinks.write_chunks(table(spark, d, "chunks").dropDuplicates(["chunk_id"]).withColumnRenamed("text", "content"), to)
+    found = json_tables.load_chunks(spark, to, lines=True)
+    return found.select("chunk_id", "doc_id", "domain", F.md5("text").alias("text"), json_tables.nested(F.col("metadata"), "section_title").alias("section_title"))
+
+
+def question_files(spark: SparkSession, d: str) -> list[str]:
+    """The questions in three files: a list, and objects with `questions` and `data`, by the first letters of a hash of qid."""
+    rows = questions(spark, d).select(F.pmod(F.xxhash64("qid"), F.lit(3)).alias("n"), F.to_json(F.struct("qid", "domain", "split", "question", "options", "answer_format", "type", "doc_ids")).alias("item"))
+    listed = F.concat(F.lit("["), F.array_join(F.collect_list("item"), ","), F.lit("]"))  # a question file is one value
+    held = rows.groupBy("n").agg(listed.alias("list"))
+    content = F.when(F.col("n") == 0, F.col("list")).when(F.col("n") == 1, F.concat(F.lit('{"questions":'), "list", F.lit("}"))).otherwise(F.concat(F.lit('{"data":'), "list", F.lit("}")))
+    to = folder(spark, "questions")
+    names = [f"{n}_questions.json" for n in range(3)]
+    every = spark.range(3).select(F.col("id").alias("n")).join(held, "n", "left").withColumn("list", F.coalesce("list", F.lit("[]")))
+    sinks.write_each(every.select(F.concat(F.lit("group_a/"), F.col("n").cast("string"), F.lit("_questions.json")).alias("path"), content.alias("content")), to)
+    return [f"{to}/group_a/{n}" for n in names]
+
+
+@query(S.build("qs", "SELECT qid, domain, split, question, coalesce(array_to_string(list_transform(map_entries(options), lambda o: o.key || '=' || coalesce(o.value, '')), '|'), '') AS options, answer_format, coalesce(array_to_string(doc_ids, '|'), '') AS doc_ids FROM qs"))
+def questions_of_files(spark, d):
+    """Questions of several files of all shapes."""
+    rows = json_tables.load_questions(spark, question_files(spark, d))
+    shown = F.array_join(F.transform(F.map_entries("options"), lambda o: F.concat(o["key"], F.lit("="), F.coalesce(o["value"], F.lit("")))), "|")
+    empty = lambda c: F.coalesce(c, F.lit(""))
+    return rows.select("qid", "domain", "split", "question", empty(shown).alias("options"), "answer_format", empty(F.array_join("doc_ids", "|")).alias("doc_ids"))
+
+
+def first_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """(qid, evidence): the first chunk of each named document as evidence, as items of an evidence file."""
+    asked = questions(spark, d)
+    first = corpus(spark, d).groupBy("doc_id").agg(F.min("ord").alias("ord"), F.min_by("text", "ord").alias("text"))
+    named = asked.select("qid", F.explode("doc_ids").alias("doc_id")).distinct().join(first, "doc_id")
+    item = F.struct("ord", "doc_id", F.lit(None).cast("int").alias("page"), F.substring("text", 1, retrieve.EVIDENCE_CHARS).alias("text"))
+    return named.groupBy("qid").agg(F.array_sort(F.collect_list(item)).alias("evidence"))
+
+
+_FIRST_CHUNKS = """SELECT qid, string_agg('[证据' || i || ']' || chr(10) || 'doc_id: ' || doc_id || chr(10) || 'page: ' || chr(10) || 'text: ' || text, chr(10) || chr(10) ORDER BY i) AS ev FROM (
+    SELECT qid, doc_id, text, row_number() OVER (PARTITION BY qid ORDER BY ord) AS i FROM (
+        SELECT qid, n.doc_id, first.ord, substring(first.text, 1, 1200) AS text FROM (SELECT DISTINCT qid, unnest(doc_ids) AS doc_id FROM qs) n
+        JOIN (SELECT doc_id, min(ord) AS ord, arg_min(text, ord) AS text FROM ch GROUP BY doc_id) first ON first.doc_id = n.doc_id)) GROUP BY qid"""
+
+
+@query(S.build("qs ch", f"SELECT qid, md5(ev) AS evidence FROM ({_FIRST_CHUNKS})"))
+def evidence_files(spark, d):
+    """Evidence as JSON lines, read back as texts."""
+    to = folder(spark, "evidence")
+    sinks.write_evidence(first_chunks(spark, d), to)
+    return json_tables.load_evidence(spark, to, lines=True).withColumn("evidence", F.md5("evidence"))
+
+
+@query(S.build("qs tf df dl corpus", _TOPK))
+def index_files(spark, d):
+    """The question texts searched in an index that was saved and loaded."""
+    to = folder(spark, "index")
+    Bm25Index.build(corpus(spark, d)).save(to)
+    asked = questions(spark, d).select(F.col("qid").alias("query"), F.lit("").alias("domain"), F.col("question").alias("text"))
+    found = Bm25Index.load(spark, to).search(asked)
+    return found.select(F.col("query").alias("qid"), "ord", "score", F.col("rank").cast("long").alias("rank"))
+
+
+@query(S.build("tr", "SELECT trace_id, qid, answer, model, coalesce(usage.total_tokens, -1) AS total_tokens, len(messages) AS n_messages, messages[1].role AS first_role FROM tr"))
+def trace_files(spark, d):
+    """K7: traces as files of their own, read back."""
+    rows = evaluate.distinct_traces(table(spark, d, "traces"))
+    at = F.col("logged_at").cast("timestamp")
+    named = rows.withColumn("run_time", F.col("logged_at")).withColumn("timestamp", at).withColumn("evidence", F.col("trace_id").cast("string")).drop("logged_at", "received_at", "trace_id", "run_dir")
+    to = folder(spark, "traces")
+    # times of two traces may be equal, and with them their names
+    sinks.write_traces(named.withColumn("qid", F.concat(F.coalesce("qid", F.lit("")), F.lit("."), "evidence")), to)
+    found = json_tables.load_traces(spark, to)
+    text = F.to_json(F.struct("messages"))
+    return found.select(
+        F.col("evidence").cast("long").alias("trace_id"), F.nullif(F.regexp_replace("qid", "[.][^.]*$", ""), F.lit("")).alias("qid"), "answer", "model", F.coalesce("usage.total_tokens", F.lit(-1)).cast("long").alias("total_tokens"),
+        F.coalesce(F.size("messages"), F.lit(0)).cast("long").alias("n_messages"), json_tables.nested(text, "messages", 0, "role").alias("first_role"),
+    )
+
+
+@query(S.build("tr", "SELECT trace_id, messages[1].role AS first_role, messages[2].content AS second_content, CAST(usage.total_tokens AS VARCHAR) AS total_tokens FROM tr"))
+def nested_values(spark, d):
+    """values below keys and places of traces as JSON."""
+    rows = evaluate.distinct_traces(table(spark, d, "traces")).select("trace_id", json_tables.to_plain(F.struct("messages", "usage")).alias("j"))
+    at = lambda *keys: json_tables.nested(F.col("j"), *keys)
+    return rows.select("trace_id", at("messages", 0, "role").alias("first_role"), at("messages", 1, "content").alias("second_content"), at("usage", "total_tokens").alias("total_tokens"))
+
+
+@query(S.build("sig", f"SELECT qid, place, array_to_string({S.ordered_unique('list_concat(every, ' + S.tokens('text') + ')')}, '|') AS terms FROM (SELECT *, list_filter({_ALL}, lambda t, i: list_position({_ALL}, t) = i) AS every FROM sig)"))
+def question_terms(spark, d):
+    """F17."""
+    texts = retrieve.question_texts(questions(spark, d))
+    return texts.select("qid", F.col("place").cast("long").alias("place"), F.array_join(R.query_terms(F.col("text"), F.col("domain")), "|").alias("terms"))
+
+
+@query(S.build("qs recall", """SELECT qid, doc_id, 999.0::DOUBLE AS score, 'provided_doc_id' AS source, domain, rank FROM (SELECT qid, domain, unnest(l) AS doc_id, generate_subscripts(l, 1) AS rank FROM (SELECT qid, domain, list_filter(doc_ids, lambda x, i: x IS NOT NULL AND list_position(doc_ids, x) = i) AS l FROM qs WHERE coalesce(len(doc_ids), 0) > 0))
+    UNION ALL SELECT qid, doc_id, score, 'document_keyword_recall', domain, rank FROM recall"""))
+def recalled_documents(spark, d):
+    """Named documents with their fixed score, and recalled ones."""
+    found = recall.recalled(materialize(corpus(spark, d), "chunks"), questions(spark, d))
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(S.build("uniq cand qs", f"""SELECT e.qid, split, coalesce(docs, '') AS candidate_doc_ids, rank, chunk_id, score, matched_terms FROM (
+    SELECT qid, rank, chunk_id, score, array_to_string({S.matched('text', 'every')}, '|') AS matched_terms FROM (SELECT *, list_filter({_ALL}, lambda t, i: list_position({_ALL}, t) = i) AS every, row_number() OVER (PARTITION BY qid ORDER BY score DESC, first_at) AS rank FROM uniq QUALIFY rank <= 15)) e
+    JOIN qs ON qs.qid = e.qid LEFT JOIN (SELECT qid, string_agg(doc_id, '|' ORDER BY doc_id) AS docs FROM cand WHERE doc_id IS NOT NULL GROUP BY qid) c ON c.qid = e.qid"""))
+def evidence_job(spark, d):
+    """Evidence of question files, written and read back."""
+    found = jobs.generate_evidence(spark, corpus(spark, d), question_files(spark, d), folder(spark, "evidence"))
+    rows = found.select("qid", "split", F.coalesce(F.array_join("candidate_doc_ids", "|"), F.lit("")).alias("candidate_doc_ids"), F.explode("evidence").alias("e"))
+    return rows.select("qid", "split", "candidate_doc_ids", F.col("e.rank").cast("long").alias("rank"), "e.chunk_id", "e.score", F.array_join("e.matched_terms", "|").alias("matched_terms"))
+
+
+_LETTERS = "CASE WHEN answer_format = 'multi' THEN array_to_string(list_sort(list_distinct(regexp_extract_all(upper(coalesce(answer, '')), '[A-D]'))), '') ELSE coalesce(regexp_extract_all(upper(coalesce(answer, '')), '[A-D]')[1], '') END"
+
+
+@query(S.build("tr qs", f"""SELECT qid, answer, prompt_tokens, completion_tokens, total_tokens FROM (WITH said AS (
+    SELECT q.qid, {_LETTERS} AS answer, coalesce(usage.input_tokens, 0) AS prompt_tokens, coalesce(usage.output_tokens, 0) AS completion_tokens,
+        CASE WHEN coalesce(usage.total_tokens, 0) <> 0 THEN usage.total_tokens ELSE coalesce(usage.input_tokens, 0) + coalesce(usage.output_tokens, 0) END AS total_tokens
+    FROM qs q LEFT JOIN (SELECT tr.qid, arg_max(struct_pack(a := coalesce(answer, '')), (logged_at, trace_id)).a AS answer, arg_max(struct_pack(u := usage), (logged_at, trace_id)).u AS usage FROM tr WHERE qid IS NOT NULL GROUP BY qid) t ON t.qid = q.qid)
+    SELECT 'summary' AS qid, '' AS answer, {", ".join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in ("prompt_tokens", "completion_tokens", "total_tokens"))} FROM said UNION ALL SELECT qid, answer, prompt_tokens, completion_tokens, total_tokens FROM said)"""))
+def answer_run(spark, d):
+    """Questions answered by replay of traces; the answer file is read back."""
+    to, evidence = folder(spark, "answers"), folder(spark, "evidence")
+    sinks.write_evidence(first_chunks(spark, d), evidence)
+    texts = json_tables.load_evidence(spark, evidence, lines=True)
+    jobs.run_answers(questions(spark, d), texts, jobs.Replay(evaluate.distinct_traces(table(spark, d, "traces"))), to)
+    kinds = "qid string, answer string, prompt_tokens long, completion_tokens long, total_tokens long"
+    return spark.read.option("header", True).schema(kinds).csv(to).withColumn("answer", F.coalesce("answer", F.lit("")))
+
+
+@query(S.build("qs", f"""SELECT qid, place, role, md5(content) AS content FROM (SELECT qid, 0 AS place, 'system' AS role, {S.quoted(A.SYSTEM_PROMPT)} AS content FROM qs UNION ALL SELECT qid, 1, 'user', chr(10) || chr(10) || '【题目】' || chr(10) || coalesce(question, '') || chr(10) || chr(10) || '【选项】' || chr(10)
+    || coalesce(array_to_string(list_transform(map_entries(options), lambda o: o.key || '. ' || coalesce(o.value, '') || chr(10)), ''), '') || chr(10) || '【要求】' || chr(10) || CASE answer_format WHEN 'mcq' THEN '只输出一个大写字母，例如：A' WHEN 'multi' THEN '只输出所有正确答案的大写字母，按字母顺序，不加空格或逗号，例如：AC' WHEN 'tf' THEN '只输出A或B' ELSE '只输出答案字母' END || chr(10) || chr(10) || '答案：' FROM qs)"""))
+def prompt_messages(spark, d):
+    """system and user message of questions without evidence."""
+    prompt = A.build_prompt(F.col("question"), F.col("options"), F.lit(None).cast("string"), F.col("answer_format"))
+    rows = questions(spark, d).select("qid", F.posexplode(A.messages(prompt)).alias("place", "m"))
+    return rows.select("qid", F.col("place").cast("long").alias("place"), "m.role", F.md5("m.content").alias("content"))
+
+
 # --- answers --------------------------------------------------------------------------------------------------
 
 

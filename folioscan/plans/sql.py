@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from folioscan.functions import answers as A
 from folioscan.functions import rules as R
-from folioscan.functions import text as X
 
+# Patterns in RE2's syntax, written for these statements.
 WS = r"[\s\p{Z}\x0b\x1c-\x1f\x85]+"
 WS0 = WS[:-1] + "*"
-RUN = X.TERM_RUN
+RUN = r"[\x{4e00}-\x{9fff}A-Za-z0-9%％]{2,}"
+ORDINAL = "第[一二三四五六七八九十百零〇0-9]+"
+HAN_NUMBER = "[一二三四五六七八九十]"
+HEADING_PATTERNS = {
+    "chapter": f"^({ORDINAL}章){WS0}(.+)?$", "section": f"^({ORDINAL}节){WS0}(.+)?$", "article": f"^({ORDINAL}条){WS0}(.+)?$",
+    "part": f"^({HAN_NUMBER}+、){WS0}(.+)$", "item": f"^(（{HAN_NUMBER}+）){WS0}(.+)$", "subitem": rf"^(\p{{Nd}}+[、.]){WS0}(.+)$",
+}
+MARKER = r"^(?:\p{Nd}+(?:-\p{Nd}+)+|[IVXLCivxlc]+|第?\p{Nd}+页)$"
+GENERIC = r"^[\x{4e00}-\x{9fff}A-Za-z（）()“”‘’《》\-]+$"
+DOTS = "[.。…]{3,}"
+NUMBERED = rf"(?:{ORDINAL}[章节条]|{HAN_NUMBER}+、).+\p{{Nd}}+$"
+ENTRY = r"(.+?)[.。…\s\p{Z}]+(\p{Nd}+)$"
+CLAUSE = "第[一二三四五六七八九十百千万0-9]+[章节条款项目]"
+NUMBER = rf"\p{{Nd}}+(?:\.\p{{Nd}}+)?{WS0}(?:万|万元|亿|亿元|%|％|个工作日|个自然日|日|天|年|个月|月)"
+DATE = rf"(?:19|20)\p{{Nd}}{{2}}{WS0}年?"
+CODE = r"[A-Za-z_]+[_-]?\p{Nd}{2,}|csrc_\p{Nd}{4}|strict_v\p{Nd}+_\p{Nd}+"
+STOP = "关于 以下 下列 正确 错误 的是 根据 结合 假设 分别 需要 应当 进行 其中".split()
 BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
@@ -47,7 +62,7 @@ def tokens(x: str) -> str:
         "ELSE [r] END"
     )
     runs = f"regexp_extract_all(lower({norm(x)}), '{RUN}')"
-    return f"list_filter(flatten(list_transform({runs}, lambda r: {grams})), lambda t: NOT list_contains({words(X.STOPWORDS)}, t))"
+    return f"list_filter(flatten(list_transform({runs}, lambda r: {grams})), lambda t: NOT list_contains({words(STOP)}, t))"
 
 
 def ordered_unique(x: str) -> str:
@@ -62,35 +77,28 @@ def domain_terms(d: str) -> str:
 SYNONYM_CASE = "CASE t " + " ".join(f"WHEN {quoted(h)} THEN {words([h, *w.split()])}" for h, w in R.SYNONYMS.items()) + " ELSE [t] END"
 
 
-def rx(pattern: str) -> str:
-    """A pattern of the package in RE2's syntax."""
-    return (
-        pattern.replace("(?U:\\s*)", WS0).replace("(?U:\\d+)", "\\p{Nd}+").replace("(?U:", "(?:").replace("(?U)", "").replace("\\d", "\\p{Nd}").replace("[.。…\\s]", "[.。…\\s\\p{Z}]")
-    )
-
-
 def is_marker(x: str) -> str:
-    return f"regexp_matches({bare(x)}, '{rx(X.PAGE_MARKER)}')"
+    return f"regexp_matches({bare(x)}, '{MARKER}')"
 
 
 def is_generic(x: str) -> str:
     b = bare(x)
-    return f"(length({b}) BETWEEN 1 AND 20 AND NOT {is_marker(x)} AND NOT regexp_matches({b}, '[，。；：,.!?\\p{{Nd}}]') AND regexp_matches({b}, '{rx(X.GENERIC_HEADING)}'))"
+    return f"(length({b}) BETWEEN 1 AND 20 AND NOT {is_marker(x)} AND NOT regexp_matches({b}, '[，。；：,.!?\\p{{Nd}}]') AND regexp_matches({b}, '{GENERIC}'))"
 
 
 def is_toc(x: str) -> str:
     b = bare(x)
-    return f"((regexp_matches({x}, '{X.TOC_DOTS}') AND regexp_matches({b}, '{rx(X.TOC_NUMBER)}')) OR regexp_matches({b}, '{rx(X.TOC_HEADING)}'))"
+    return f"((regexp_matches({x}, '{DOTS}') AND regexp_matches({b}, '\\p{{Nd}}+$')) OR regexp_matches({b}, '{NUMBERED}'))"
 
 
 def level(x: str) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches({x}, '{rx(p)}') THEN '{n}'" for n, p in X.HEADINGS.items()) + " END"
+    return "CASE " + " ".join(f"WHEN regexp_matches({x}, '{p}') THEN '{n}'" for n, p in HEADING_PATTERNS.items()) + " END"
 
 
 def title(x: str) -> str:
     cases = (
-        f"WHEN regexp_matches({x}, '{rx(p)}') THEN {strip(f'''{strip(f'''regexp_extract({x}, '{rx(p)}', 1)''')} || ' ' || {strip(f'''coalesce(regexp_extract({x}, '{rx(p)}', 2), '')''')}''')}"
-        for p in X.HEADINGS.values()
+        f"WHEN regexp_matches({x}, '{p}') THEN {strip(f'''{strip(f'''regexp_extract({x}, '{p}', 1)''')} || ' ' || {strip(f'''coalesce(regexp_extract({x}, '{p}', 2), '')''')}''')}"
+        for p in HEADING_PATTERNS.values()
     )
     return "CASE " + " ".join(cases) + " END"
 
@@ -101,13 +109,13 @@ def toc_page(l: str) -> str:
 
 def signals(text: str, domain: str) -> str:
     """A struct of five lists over a normalized text column."""
-    runs = f"list_filter(regexp_extract_all({text}, '{RUN}'), lambda t: NOT list_contains({words(X.STOPWORDS)}, t))"
+    runs = f"list_filter(regexp_extract_all({text}, '{RUN}'), lambda t: NOT list_contains({words(STOP)}, t))"
     known = f"list_filter({domain_terms(domain)}, lambda t: contains({text}, t))"
     return f"flatten(list_transform(list_concat({runs}, {known}), lambda t: {SYNONYM_CASE}))"
 
 
 def found(text: str, pattern: str) -> str:
-    return f"list_transform(regexp_extract_all({text}, '{rx(pattern)}'), lambda t: {norm('t')})"
+    return f"list_transform(regexp_extract_all({text}, '{pattern}'), lambda t: {norm('t')})"
 
 
 def keyword_score(t: str, s: str, d: str) -> str:
@@ -141,7 +149,7 @@ PARTS: dict[str, tuple[str, str]] = {
         SELECT qid, domain, 0 AS place, NULL::VARCHAR AS option, array_to_string(list_transform(list_filter(list_concat([question], coalesce(map_values(options), [])), lambda p: p IS NOT NULL AND p <> ''), lambda p: {norm('p')}), ' ') AS text, doc_ids FROM qs
         UNION ALL SELECT qid, domain, generate_subscripts(map_entries(options), 1) AS place, unnest(map_entries(options)).key AS option, {norm('question')} || ' ' || {norm('unnest(map_entries(options)).value')} AS text, doc_ids FROM qs"""),
     "qn": ("qq", f"SELECT *, {norm('text')} AS plain FROM qq"),
-    "qr": ("qn", f"SELECT *, list_transform({signals('plain', 'domain')}, lambda t: {norm('t')}) AS kw, {found('plain', R.CLAUSE)} AS cl, {found('plain', R.NUMBER)} AS nu, {found('plain', R.DATE)} AS da, {found('plain', R.CODE)} AS co FROM qn"),
+    "qr": ("qn", f"SELECT *, list_transform({signals('plain', 'domain')}, lambda t: {norm('t')}) AS kw, {found('plain', CLAUSE)} AS cl, {found('plain', NUMBER)} AS nu, {found('plain', DATE)} AS da, {found('plain', CODE)} AS co FROM qn"),
     "sig": ("qr", f"SELECT qid, domain, place, option, text, doc_ids, struct_pack(keywords := {ordered_unique('kw')}, clauses := {ordered_unique('cl')}, numbers := {ordered_unique('nu')}, dates := {ordered_unique('da')}, codes := {ordered_unique('co')}) AS s FROM qr"),
     "docs": ("ch", "SELECT doc_id, min(ord) AS ord, coalesce(arg_max(domain, ord) FILTER (domain <> ''), '') AS domain, ' ' || string_agg(substring(text, 1, 800), ' ' ORDER BY ord) AS text FROM ch GROUP BY doc_id"),
     "docn": ("docs", f"SELECT doc_id, ord, domain, {norm('text')} AS text FROM docs"),
@@ -195,17 +203,36 @@ PARTS: dict[str, tuple[str, str]] = {
 }
 
 
-def build(names: str, body: str) -> str:
-    """A statement of the parts it needs, in order, and a body."""
+def cleaned(x: str) -> str:
+    return strip(f"regexp_replace(regexp_replace(translate(coalesce({x}, ''), chr(12288) || chr(160), '  '), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+def build(names: str, body: str, instead: dict[str, tuple[str, str]] | None = None, recursive: bool = False) -> str:
+    """A statement of the parts it needs, in order, and a body; `instead` holds parts that take the place of others."""
+    parts = PARTS | (instead or {})
     done: list[str] = []
 
     def add(name: str) -> None:
         if name not in done:
-            for x in PARTS[name][0].split():
+            for x in parts[name][0].split():
                 add(x)
             done.append(name)
 
     for name in names.split():
         add(name)
-    head = ", ".join(f"{n} AS MATERIALIZED ({PARTS[n][1]})" for n in done)
-    return f"WITH {head} {body}" if head else body
+    head = ", ".join(f"{n} AS MATERIALIZED ({parts[n][1]})" for n in done)
+    return f"WITH {'RECURSIVE ' if recursive else ''}{head} {body}" if head else body
+
+
+#: The pages of raw files: texts as one page, and volumes of chunks as PDF.
+RAW_PAGES = {
+    "rawpages": ("one", f"SELECT 'doc_' || doc_id AS doc_id, 1 AS page, 'txt' AS kind, {cleaned('text')} AS text FROM documents UNION ALL SELECT md5(doc_id || '-' || (chunk_index // 50)), CAST(row_number() OVER (PARTITION BY doc_id, chunk_index // 50 ORDER BY chunk_index) AS INTEGER), 'pdf', {cleaned('text')} FROM one"),
+    "pages": ("rawpages", f"SELECT doc_id, page, text, {lines('text')} AS l FROM rawpages"),
+}
+#: Pages of contents and pages with edges, made of chunks.
+CONTENTS_PAGES = {
+    "pages": ("one", f"""SELECT doc_id, page, text, {lines('text')} AS l FROM (SELECT doc_id, chunk_index AS page, '目录' || chr(10) || coalesce(section_title, '无题') || '......' || chunk_index || chr(10) || '第一章 ' || coalesce(section_title, '无题') || ' … ' || (chunk_index + 7) || chr(10) || '附录 … ' || chunk_index AS text FROM one)"""),
+}
+EDGED_PAGES = {
+    "pages": ("one", f"""SELECT doc_id, page, text, {lines('text')} AS l FROM (SELECT doc_id, chunk_index AS page, '年度报告 ' || doc_id || chr(10) || chunk_index || '-' || (chunk_index + 1) || chr(10) || coalesce(text, '') || chr(10) || '内部资料请勿外传 ' || (chunk_index % 2) AS text FROM one)"""),
+}

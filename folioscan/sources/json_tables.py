@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from folioscan.functions.answers import evidence_text
 from folioscan.functions.text import first_filled, normalize
+from folioscan.operators import chunking
 
 # Names under which a field may come, first come first.
 ALIASES = {
@@ -24,6 +25,7 @@ CHUNK = (
 SEGMENT = "title string, text string, hierarchy map<string,string>, keywords array<string>"
 DOCUMENT = (
     "doc_id string, domain string, path string, metadata struct<doc_id:string,domain:string,title:string,source_markdown_path:string,source_relative_path:string>, "
+    "source_type string, page_count int, char_count bigint, toc array<struct<title:string,target_page:int,source_page:int>>, "
     "chunks array<struct<{}>>, pages array<struct<page:int,page_type:string,segments:array<struct<{}>>>>"
 ).format(*(", ".join(f.strip().replace(" ", ":", 1) for f in _split) for _split in (CHUNK.split(", "), SEGMENT.split(", "))))
 TRACE = (
@@ -32,8 +34,19 @@ TRACE = (
 )
 
 
-def _items(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
-    """(path, idx, item): the JSON items of files that hold a list, or an object with a list under one of keys."""
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, idx, item): the JSON items of files with one on each line, which are read in splits; idx follows the order of lines."""
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("idx"), F.col("value").alias("item"))
+    return read.where("item != ''")
+
+
+def _items(spark: SparkSession, path: str | list[str], keys: tuple[str, ...], lines: bool = False) -> DataFrame:
+    """(path, idx, item): the JSON items of files that hold a list, or an object with a list under one of keys; or, with lines, one on each line.
+
+    A file that holds a list is one value; what may be large is kept as lines, which are read in splits.
+    """
+    if lines:
+        return _lines(spark, path)
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.trim(F.regexp_replace("value", r"^\x{feff}|\s+$", "")).alias("value"))
     as_list = F.from_json("value", T.ArrayType(T.StringType()))
     nested = F.from_json("value", T.StructType([T.StructField(k, T.ArrayType(T.StringType())) for k in keys]))
@@ -58,9 +71,9 @@ def aliased(df: DataFrame, idx: str = "idx") -> DataFrame:
     return rows.where("text != ''")
 
 
-def load_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Chunks of JSON files, with ord (file, then place) and metadata (the item as JSON); items that are no objects are skipped but counted."""
-    items = _items(spark, path, ("chunks", "data")).where(F.ltrim("item").startswith("{"))
+def load_chunks(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
+    """Chunks of JSON files, with ord (file, then place) and metadata (the item as JSON, P10); items that are no objects are skipped but counted."""
+    items = _items(spark, path, ("chunks", "data"), lines).where(F.ltrim("item").startswith("{"))
     fields = sorted({a for names in ALIASES.values() for a in names})
     parsed = items.select("path", "idx", "item", *(F.get_json_object("item", f"$.{f}").alias(f) for f in fields))
     chunks = aliased(parsed.withColumn("idx", F.struct("path", "idx", "item")).drop("path", "item").withColumnRenamed("idx", "place").withColumn("idx", F.col("place.idx")), "place")
@@ -68,8 +81,8 @@ def load_chunks(spark: SparkSession, path: str) -> DataFrame:
     return chunks.select(F.struct("idx.path", "idx.idx").alias("ord"), default.alias("chunk_id"), "doc_id", "domain", "text", F.col("idx.item").alias("metadata"))
 
 
-def load_questions(spark: SparkSession, path: str) -> DataFrame:
-    """Questions of JSON files that hold a list, or an object with `questions` or `data`."""
+def load_questions(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Questions of one or several JSON files that hold a list, or an object with `questions` or `data`."""
     items = _items(spark, path, ("questions", "data"))
     return items.select(F.from_json("item", QUESTION).alias("q")).select("q.*")
 
@@ -79,8 +92,8 @@ def load_traces(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRACE).option("multiLine", True).option("recursiveFileLookup", True).json(path)
 
 
-def load_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Processed documents, one JSON object a file, of either shape; doc_id falls back to the metadata and the file's stem."""
+def load_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Processed documents of one or several folders, one JSON object a file, of either shape; doc_id falls back to the metadata and the file's stem."""
     docs = spark.read.schema(DOCUMENT).option("multiLine", True).json(path).withColumn("processed_path", F.col("_metadata.file_path"))
     stem = F.regexp_extract("processed_path", r"([^/]*?)(?:\.[^./]*)?$", 1)
     return docs.withColumn("doc_id", F.coalesce(first_filled(F.col("doc_id"), F.col("metadata.doc_id")), stem)).withColumn(
@@ -99,14 +112,28 @@ def chunks_of_documents(documents: DataFrame) -> DataFrame:
     ).where("text != ''")
 
 
-def load_evidence(spark: SparkSession, path: str) -> DataFrame:
+def chunks_of_pages(documents: DataFrame, max_chars: int = chunking.MAX_CHARS) -> DataFrame:
+    """The chunks of the segments of documents' pages, numbered by page, segment and part."""
+    rows = documents.select("doc_id", "domain", "processed_path", F.explode("pages").alias("p"))
+    rows = rows.select("doc_id", "domain", "processed_path", F.col("p.page").alias("page"), F.posexplode("p.segments").alias("segment", "s"))
+    flat = rows.select("doc_id", "domain", "processed_path", "page", "segment", "s.title", "s.text", F.map_values("s.hierarchy").alias("above"), "s.keywords")
+    return chunking.split_segments(flat, max_chars)
+
+
+def load_evidence(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """(qid, evidence): evidence texts of JSON files; of rows with one qid the last counts."""
-    item = "struct<qid:string,evidence:array<struct<doc_id:string,text:string,metadata:struct<page:string>>>>"
-    rows = _items(spark, path, ("evidence",)).select(F.struct("path", "idx").alias("at"), F.from_json("item", item).alias("e"))
-    blocks = F.transform("e.evidence", lambda c: F.struct(c["doc_id"].alias("doc_id"), c["metadata"]["page"].alias("page"), c["text"].alias("text")))
+    item = "struct<qid:string,evidence:array<struct<doc_id:string,text:string,page:string,metadata:struct<page:string>>>>"
+    rows = _items(spark, path, ("evidence",), lines).select(F.struct("path", "idx").alias("at"), F.from_json("item", item).alias("e"))
+    blocks = F.transform("e.evidence", lambda c: F.struct(c["doc_id"].alias("doc_id"), F.coalesce(c["metadata"]["page"], c["page"]).alias("page"), c["text"].alias("text")))
     return rows.groupBy("e.qid").agg(F.max_by(evidence_text(blocks), "at").alias("evidence"))
 
 
-def to_json_text(row: Column) -> Column:
-    """a nested value as JSON."""
-    return F.to_json(row)
+def nested(value: Column, *keys: str | int) -> Column:
+    """what lies below keys (of objects) and places (of lists) of a JSON value, or null where there is no such place."""
+    path = "$" + "".join(f"[{k}]" if isinstance(k, int) else f"['{k}']" for k in keys)
+    return F.get_json_object(value, path)
+
+
+def to_plain(value: Column) -> Column:
+    """a nested value as JSON; null fields are left out."""
+    return F.to_json(value)

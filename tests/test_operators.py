@@ -74,6 +74,28 @@ def test_hierarchy_equals_sequential_model(spark):
     assert got == sequential_segments(marked)
 
 
+def test_hierarchy_of_a_document_in_many_ranges(spark):
+    """State is handed from range to range, also over ranges without headings; documents do not mix."""
+    rng = random.Random(5)
+    rows, want = [], {}
+    below = {n: structure.LEVELS[i + 1 :] for i, n in enumerate(structure.LEVELS)} | {"heading": ()}
+    for doc, pages_ in (("a", 120), ("b", 3), ("c", 40)):
+        state = {}
+        for page in range(pages_):
+            for segment in range(rng.randint(1, 3)):
+                level = rng.choice([*structure.LEVELS, None, None]) if page % 50 < 10 else None
+                title = f"{doc}{page}.{segment}" if level else None
+                if level:
+                    state[level] = title
+                    for x in below[level]:
+                        state.pop(x, None)
+                rows.append((doc, page, segment, level, title))
+                want[doc, page, segment] = (title or next((state[n] for n in reversed(structure.LEVELS) if n in state), ""), dict(state))
+    df = spark.createDataFrame(rows, "doc_id string, page int, segment int, level string, own_title string").repartition(6)
+    got = {(r.doc_id, r.page, r.segment): (r.title, {n: r[f"h_{n}"] for n in structure.LEVELS if r[f"h_{n}"] is not None}) for r in structure.heading_state(df).collect()}
+    assert got == want
+
+
 def test_page_types(spark):
     df = pages(spark, ["目录\n第一章 总则", "x", "正文内容", "\n".join(f"第{n}章 甲 {i}" for i, n in enumerate("一二三四五"))])
     assert [r.page_type for r in structure.page_types(df).orderBy("page").collect()] == ["toc", "empty", "content", "toc"]
