@@ -30,7 +30,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     given = parser.parse_args(arguments)
     spark = spark or SparkSession.getActiveSession() or local_session()
     chunks = json_tables.load_chunks(spark, given.chunks, given.lines)
-    index = Bm25Index.build(chunks)
+    index = Bm25Index.build(chunks).kept()
     if given.save:
         index.save(given.save)
     found = search_text(index, chunks, given.query, given.top_k) if given.query else []

@@ -121,7 +121,7 @@ def heading_state(starts: DataFrame) -> DataFrame:
     mine = lambda name: F.when(F.col("level") == name, F.struct("place", F.col("own_title").alias("title")))
     after = rows.groupBy("doc_id", "block").agg(*(F.max_by(mine(n), F.when(F.col("level") == n, F.col("place"))).alias(f"s_{n}") for n in LEVELS))
     before = Window.partitionBy("doc_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = materialize(after.select("doc_id", "block", *(F.last(f"s_{n}", ignorenulls=True).over(before).alias(f"c_{n}") for n in LEVELS)), "carried")
+    carried = after.select("doc_id", "block", *(F.last(f"s_{n}", ignorenulls=True).over(before).alias(f"c_{n}") for n in LEVELS))
     so_far = Window.partitionBy("doc_id", "block").orderBy("page", "segment").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state = rows.join(carried, ["doc_id", "block"])
     state = state.withColumns({f"x_{n}": F.coalesce(F.last(mine(n), ignorenulls=True).over(so_far), F.col(f"c_{n}")) for n in LEVELS})

@@ -210,7 +210,7 @@ _TOPK = f"""SELECT qid, ord, score, rank FROM (
 def bm25_topk(spark, d):
     """Question texts against all chunks."""
     asked = questions(spark, d).select(F.col("qid").alias("query"), F.lit("").alias("domain"), F.col("question").alias("text"))
-    return Bm25Index.build(corpus(spark, d)).search(asked).select(F.col("query").alias("qid"), "ord", "score", F.col("rank").cast("long").alias("rank"))
+    return Bm25Index.build(corpus(spark, d)).kept().search(asked).select(F.col("query").alias("qid"), "ord", "score", F.col("rank").cast("long").alias("rank"))
 
 
 @query(S.build("lexhits", "SELECT qid, place, ord, score, rank FROM lexhits"))
@@ -220,7 +220,7 @@ def bm25_filtered_topk(spark, d):
     texts = retrieve.question_texts(asked)
     candidates = retrieve.candidate_documents(asked, chunks)
     restrict = texts.select("qid", "query").join(candidates, "qid").select("query", "doc_id")
-    hits = Bm25Index.build(chunks).search(texts.select("query", "text", "domain", "k"), restrict, "k")
+    hits = Bm25Index.build(chunks).kept().search(texts.select("query", "text", "domain", "k"), restrict, "k")
     return hits.select("query.qid", F.col("query.place").cast("long").alias("place"), "ord", "score", F.col("rank").cast("long").alias("rank"))
 
 
