@@ -9,33 +9,44 @@ from folioscan.functions.text import STOPWORDS, TERM_RUN, let, normalize, tokeni
 
 # The terms of each domain, synonyms, and patterns, which must equal the reference behaviour's.
 DOMAIN_TERMS = {
-    "insurance": (
-        "保险责任 身故保险金 现金价值 退保 领取 等待期 免赔额 赔付 保单账户 养老年金 保险金额 保险期间 投保人 被保险人 "
-        "受益人 豁免 红利 生存金 住院 手术 重大疾病 理赔 续保 犹豫期"
-    ).split(),
-    "regulatory": (
-        "应当 不得 必须 期限 处罚 报告 备案 施行 管理办法 条例 股东大会 董事会 独立董事 信息披露 内幕信息 违规 罚款 警告 "
-        "吊销 许可证 合规 监管 证监会 银保监 股票代码 上市公司 募集资金 担保"
-    ).split(),
-    "financial_contracts": (
-        "债券 期限 利率 评级 发行人 担保 权利 义务 募集 票面利率 发行规模 兑付 违约 增信 质押 抵押 承销 主承销商 信用评级 "
-        "到期日 付息 回售 转股 可转债 受托管理人 公司"
-    ).split(),
-    "financial_reports": (
-        "营业收入 净利润 现金流 研发投入 分红 年度 同比 毛利率 归母净利润 扣非净利润 每股收益 资产负债率 总资产 净资产 "
-        "营业成本 期间费用 存货 应收账款 资本开支 股息 派息 净资产收益率 经营活动"
-    ).split(),
-    "research": (
-        "行业趋势 公司比较 增长率 研究结论 风险提示 市场规模 竞争格局 渗透率 市占率 龙头 头部 产能 出货量 下游 上游 产业链 "
-        "估值 目标价 买入 推荐 盈利预测"
-    ).split(),
+    "insurance": [
+        "保险责任", "身故保险金", "现金价值", "退保", "领取", "等待期", "免赔额", "赔付", "保单账户", "养老年金", "保险金额", "保险期间", "投保人", "被保险人", "受益人", "豁免",
+        "红利", "生存金", "住院", "手术", "重大疾病", "理赔", "续保", "犹豫期",
+    ],
+    "regulatory": [
+        "应当", "不得", "必须", "期限", "处罚", "报告", "备案", "施行", "管理办法", "条例", "股东大会", "董事会", "独立董事", "信息披露", "内幕信息", "违规", "罚款", "警告",
+        "吊销", "许可证", "合规", "监管", "证监会", "银保监", "股票代码", "上市公司", "募集资金", "担保",
+    ],
+    "financial_contracts": [
+        "债券", "期限", "利率", "评级", "发行人", "担保", "权利", "义务", "募集", "票面利率", "发行规模", "兑付", "违约", "增信", "质押", "抵押", "承销", "主承销商",
+        "信用评级", "到期日", "付息", "回售", "转股", "可转债", "受托管理人", "公司",
+    ],
+    "financial_reports": [
+        "营业收入", "净利润", "现金流", "研发投入", "分红", "年度", "同比", "毛利率", "归母净利润", "扣非净利润", "每股收益", "资产负债率", "总资产", "净资产", "营业成本", "期间费用",
+        "存货", "应收账款", "资本开支", "股息", "派息", "净资产收益率", "经营活动",
+    ],
+    "research": [
+        "行业趋势", "公司比较", "增长率", "研究结论", "风险提示", "市场规模", "竞争格局", "渗透率", "市占率", "龙头", "头部", "产能", "出货量", "下游", "上游", "产业链", "估值",
+        "目标价", "买入", "推荐", "盈利预测",
+    ],
 }
 SYNONYMS = {
-    "身故保险金": "身故 死亡保险金 保险金", "现金价值": "保单现金价值", "退保": "解除合同 退保金 退还", "营业收入": "营收 收入",
-    "净利润": "归母净利润 利润", "报告": "报送 提交 报备", "期限": "时限 期间 日内 个月内", "股东大会": "股东会 股东大会审议",
-    "董事会": "董事会决议 董事会审议", "信息披露": "披露 公告 公开披露", "研发投入": "研发费用 研发支出", "现金流": "现金流量 经营现金流",
-    "担保": "保证 抵押担保 质押担保", "利率": "票面利率 利息", "评级": "信用评级 主体评级 债项评级",
-}
+    "身故保险金": ["身故", "死亡保险金", "保险金"],
+    "现金价值": ["保单现金价值"],
+    "退保": ["解除合同", "退保金", "退还"],
+    "营业收入": ["营收", "收入"],
+    "净利润": ["归母净利润", "利润"],
+    "报告": ["报送", "提交", "报备"],
+    "期限": ["时限", "期间", "日内", "个月内"],
+    "股东大会": ["股东会", "股东大会审议"],
+    "董事会": ["董事会决议", "董事会审议"],
+    "信息披露": ["披露", "公告", "公开披露"],
+    "研发投入": ["研发费用", "研发支出"],
+    "现金流": ["现金流量", "经营现金流"],
+    "担保": ["保证", "抵押担保", "质押担保"],
+    "利率": ["票面利率", "利息"],
+    "评级": ["信用评级", "主体评级", "债项评级"],
+}
 CLAUSE = r"第[一二三四五六七八九十百千万0-9]+[章节条款项目]"
 NUMBER = r"(?U)\d+(?:\.\d+)?\s*(?:万|万元|亿|亿元|%|％|个工作日|个自然日|日|天|年|个月|月)"
 DATE = r"(?U)(?:19|20)\d{2}\s*年?"
@@ -62,7 +73,7 @@ def domain_terms(domain: Column) -> Column:
 
 def with_synonyms(term: Column) -> Column:
     """The term and its synonyms, which are not expanded again."""
-    table = F.expr("map(" + ", ".join(f"{head!r}, array({', '.join(map(repr, words.split()))})" for head, words in SYNONYMS.items()) + ")")
+    table = F.expr("map(" + ", ".join(f"{head!r}, array({', '.join(map(repr, words))})" for head, words in SYNONYMS.items()) + ")")
     return F.concat(F.array(term), F.coalesce(F.try_element_at(table, term), _array([])))
 
 

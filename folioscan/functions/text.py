@@ -17,7 +17,7 @@ LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 # Patterns that must match as in the reference behaviour.
 TERM_RUN = r"[\x{4e00}-\x{9fff}A-Za-z0-9%％]{2,}"
 HAN = r"[\x{4e00}-\x{9fff}]"
-STOPWORDS = "关于 以下 下列 正确 错误 的是 根据 结合 假设 分别 需要 应当 进行 其中".split()
+STOPWORDS = ["关于", "以下", "下列", "正确", "错误", "的是", "根据", "结合", "假设", "分别", "需要", "应当", "进行", "其中"]
 NUMERAL = "一二三四五六七八九十百零〇0-9"
 HEADINGS = {
     "chapter": rf"^(第[{NUMERAL}]+章)(?U:\s*)(.+)?$",

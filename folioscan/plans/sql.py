@@ -23,7 +23,7 @@ CLAUSE = "第[一二三四五六七八九十百千万0-9]+[章节条款项目]"
 NUMBER = rf"\p{{Nd}}+(?:\.\p{{Nd}}+)?{WS0}(?:万|万元|亿|亿元|%|％|个工作日|个自然日|日|天|年|个月|月)"
 DATE = rf"(?:19|20)\p{{Nd}}{{2}}{WS0}年?"
 CODE = r"[A-Za-z_]+[_-]?\p{Nd}{2,}|csrc_\p{Nd}{4}|strict_v\p{Nd}+_\p{Nd}+"
-STOP = "关于 以下 下列 正确 错误 的是 根据 结合 假设 分别 需要 应当 进行 其中".split()
+STOP = ["关于", "以下", "下列", "正确", "错误", "的是", "根据", "结合", "假设", "分别", "需要", "应当", "进行", "其中"]
 BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
@@ -74,7 +74,7 @@ def domain_terms(d: str) -> str:
     return "CASE " + " ".join(f"WHEN {d} = {quoted(n)} THEN {words(w)}" for n, w in R.DOMAIN_TERMS.items()) + " ELSE []::VARCHAR[] END"
 
 
-SYNONYM_CASE = "CASE t " + " ".join(f"WHEN {quoted(h)} THEN {words([h, *w.split()])}" for h, w in R.SYNONYMS.items()) + " ELSE [t] END"
+SYNONYM_CASE = "CASE t " + " ".join(f"WHEN {quoted(h)} THEN {words([h, *w])}" for h, w in R.SYNONYMS.items()) + " ELSE [t] END"
 
 
 def is_marker(x: str) -> str:
