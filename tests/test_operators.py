@@ -333,3 +333,11 @@ def test_stream_of_unordered_files_equals_batch(spark, tmp_path):
     path = str(tmp_path / "traces.parquet")
     batch = {tuple(r) for r in token_windows(spark.read.parquet(path)).collect()}
     assert len(batch) == 22 and {tuple(r) for r in run_token_windows(spark, path, "u").collect()} == batch
+
+
+def test_no_questions_and_no_words(spark):
+    chunks = chunk_table(spark, [(0, "c0", "d0", "research", "产能增长")])
+    none = spark.createDataFrame([], QUESTION)
+    assert retrieve.fused_evidence(chunks, none).count() == 0 and recall.recalled(chunks, retrieve.distinct_questions(none)).count() == 0
+    silent = spark.createDataFrame([("q", None, "B", "？", None, "mcq", None, [])], QUESTION)
+    assert retrieve.fused_evidence(chunks, silent).count() == 0
