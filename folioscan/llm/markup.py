@@ -3,7 +3,8 @@
 A text is read as a stream of markup tokens and lines of text by one grammar of HTML, Markdown, wiki and LaTeX. The
 stream serves three ends: a text without markup tokens is left alone, others are written out as clean text in one plain
 notation, and the streams of all texts of a host are aligned into its wrapper, a regular expression without unions
-(module wrappers). What the wrapper shows to be the host's template is taken out of its texts when they are cleaned.
+(module wrappers). Texts are read by the wrapper of their host: markup residue is what the wrapper has as markup, and
+what it shows to be the host's template is taken out of its texts when they are cleaned.
 """
 
 from __future__ import annotations
@@ -413,17 +414,44 @@ def host_wrappers(texts: DataFrame, host: str = "host", text: str = "text", fan:
     return parts.select(host, as_text("nodes").alias("wrapper"), "n_texts", "nodes")
 
 
+def _with_nodes(df: DataFrame, wrappers: DataFrame, id_col: str, host: str, text: str) -> DataFrame:
+    """(id, text, nodes): every row with the wrapper of its host, null without one. Adaptive execution splits the join for a hot host."""
+    of = [F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.col(host).isNull().alias("_none")]
+    known = materialize(wrappers.select(*of, "nodes"), "wrappers")
+    return df.select(id_col, text, *of).join(known, ["_host", "_none"], "left").select(id_col, text, "nodes")
+
+
+def found_by_wrappers(df: DataFrame, wrappers: DataFrame, id_col: str = "chunk_id", host: str = "host", text: str = "text") -> DataFrame:
+    """(id): records of df (id, host, text) in which the wrapper of their host (host_wrappers) has markup.
+
+    A text is read by its wrapper: each of its tokens must be a fixed node of the wrapper, or one of its groups or gaps,
+    and character references count in the lines that fill slots. Rows of one id are one record.
+    """
+    joined = _with_nodes(df, wrappers, id_col, host, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        markup: dict[str | None, set[str]] = {None: set()}
+        for batch in slices(batches, text):
+            held = []
+            for t, nodes in zip(batch.column(text).to_pylist(), batch.column("nodes").to_pylist()):
+                if nodes not in markup:
+                    if len(markup) > 1000:
+                        markup = {None: set()}
+                    markup[nodes] = W.symbols(W.loaded(nodes))
+                held.append(any(k in _INLINE or symbol(k, t[a:b]) in markup[nodes] for k, a, b in tokens(t)) if t else False)
+            yield pa.RecordBatch.from_arrays([batch.column(id_col)], [id_col]).filter(pa.array(held, pa.bool_()))
+
+    return joined.mapInArrow(run, T.StructType([df.schema[id_col]])).distinct()
+
+
 def cleaned_texts(df: DataFrame, wrappers: DataFrame, id_col: str = "chunk_id", host: str = "host", text: str = "text", least_texts: int = 3) -> DataFrame:
     """(id, kinds, n_tokens, n_template, clean_text, structure) of every row of df (id, host, text).
 
     n_template: lines that went as the template of the host, which are those that its wrapper (host_wrappers) has as fixed
     texts, of hosts with least_texts texts or more. structure: the stream of the text, with slots for its texts. Null
-    texts have no tokens and a null clean text; empty and blank texts come out as they are. Adaptive execution splits the
-    join with wrappers for a hot host.
+    texts have no tokens and a null clean text; empty and blank texts come out as they are.
     """
-    known = materialize(wrappers.where(F.col("n_texts") >= least_texts).select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.col(host).isNull().alias("_none"), "nodes"), "wrappers")
-    rows = df.select(id_col, text, F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.col(host).isNull().alias("_none"))
-    joined = rows.join(known, ["_host", "_none"], "left").select(id_col, text, "nodes")
+    joined = _with_nodes(df, wrappers.where(F.col("n_texts") >= least_texts), id_col, host, text)
     names = [id_col, "kinds", "n_tokens", "n_template", "clean_text", "structure"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

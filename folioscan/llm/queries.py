@@ -23,18 +23,24 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.with_markup(table(spark, sf_dir, "chunks"))
+    """By the wrappers of hosts; every row of a chunk is read."""
+    texts = _with_hosts(spark, sf_dir, table(spark, sf_dir, "chunks"))
+    return markup.found_by_wrappers(texts, markup.host_wrappers(texts))
 
 
-def _chunks_of_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(chunk_id, host, text), a row per chunk. A host is the folder that a document's Markdown was parsed into, by its latest state."""
+def _with_hosts(spark: SparkSession, sf_dir: str, chunks: DataFrame) -> DataFrame:
+    """(chunk_id, host, text). A host is the folder that a document's Markdown was parsed into, by its latest state."""
     index = table(spark, sf_dir, "document_index").where("source_markdown_path IS NOT NULL")
     folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("host")
     hosts = index.groupBy("doc_id").agg(F.max_by("source_markdown_path", F.struct("indexed_at", "source_markdown_path")).alias("path")).select("doc_id", folder)
-    chunks = one_per_id(table(spark, sf_dir, "chunks"), "chunk_id", ["doc_id", "text"])
     return materialize(chunks.join(materialize(hosts, "hosts"), "doc_id", "left").select("chunk_id", "host", "text"), "host-texts")
 
 
+def _chunks_of_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(chunk_id, host, text), a row per chunk."""
+    return _with_hosts(spark, sf_dir, one_per_id(table(spark, sf_dir, "chunks"), "chunk_id", ["doc_id", "text"]))
+
+
 def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every chunk cleaned with the wrapper of its host."""
     texts = _chunks_of_hosts(spark, sf_dir)

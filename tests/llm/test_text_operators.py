@@ -83,6 +83,77 @@ def test_wrappers_of_streams():
     assert len(many.split()) < 2000 and "#" in many
 
 
+def accepts(w, symbols):
+    """Whether the regular expression that a wrapper stands for has a stream; a gap is its tokens in any order."""
+    of = {}
+
+    def sign(s):
+        return of.setdefault(s, chr(0x4E00 + len(of)))
+
+    texts = "".join(sign(s) for s in {*wrappers.symbols(w), *symbols} if wrappers.is_text(s))
+
+    def signs(s):
+        return f"[{texts}]" if s == "#" else sign(s)
+
+    def pattern(nodes, gaps):
+        bags = [(("[" + "".join(signs(s).strip("[]") for s in g) + "]") + ("?" if list(g.values()) == [False] else "*")) if g else "" for g in gaps]
+        return bags[0] + "".join((signs(s) if isinstance(s, str) else f"(?:{pattern(*s)})") + "+" * r + bag for (s, r), bag in zip(nodes, bags[1:]))
+
+    return re.fullmatch(pattern(*w), "".join(sign(s) for s in symbols)) is not None
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<u>", "</u>", "<l>", "</l>", "<b>", '"a"', '"b"', '"c"']), max_size=14), min_size=1, max_size=5))
+def test_wrappers_hold_all_their_streams(streams):
+    out = wrappers.of_stream(streams[0])
+    for s in streams[1:]:
+        out = wrappers.align(out, wrappers.of_stream(s))
+    assert wrappers.loaded(wrappers.dumped(out)) == out
+    for s in streams:
+        assert accepts(out, s), (wrappers.written(out), s)
+
+
+def test_wrappers_of_long_streams():
+    for seed in range(8):
+        rng = random.Random(seed)
+        streams = [rng.choices(["<b>", "</b>", "<i>", "</i>", "<br>", '"a"', '"b"', "#"], k=800) for _ in range(3)]
+        out = wrappers.of_stream(streams[0])
+        for s in streams[1:]:
+            out = wrappers.align(out, wrappers.of_stream(s))
+        assert wrappers.symbols(out) >= {x for s in streams for x in s if not wrappers.is_text(x)}
+
+
+def test_wrappers_find_squares():
+    def of(*texts):
+        return wrapper(*(" ".join(s.replace(" ", "_") for s, _, _ in markup.stream(t, markup.tokens(t))) for t in texts))
+
+    assert of("<ul><li>一<li>二</ul>", "<ul><li>三<li>四<li>五</ul>") == "<ul> (<li> #)+ </ul>"
+    assert of("<ul><li>一</ul>", "<ul><li>二<li>三<li>四</ul>") == "<ul> (<li> #)+ </ul>" == of("<ul><li>二<li>三<li>四</ul>", "<ul><li>一</ul>")
+    wide = "".join(f"<b>甲{i}</b><i>乙{i}</i><br>" for i in range(3))
+    assert of(wide, "<b>丙</b><i>丁</i><br>") == "(<b> # </b> <i> # </i> <br>)+"  # seven nodes wide
+    for more in ("<li>一</li><li><b>二</b></li>", "<li><b>二</b></li><li>一</li>", "<li>三</li><li><b>二</b></li><li>四</li>"):
+        assert of(f"<ul>{more}</ul>", "<ul><li>三</li></ul>") == "<ul> (<li> <b>? # </b>? </li>)+ </ul>"
+    items = "".join(f"<li><b>{i}</b></li>" if i in (0, 2) else f"<li>{i}</li>" for i in range(6))
+    assert of(f"<ul>{items}</ul>", "<ul><li>二</li></ul>") == "<ul> (<li> <b>? # </b>? </li>)+ </ul>"  # one square, not the pairs of two
+    assert of("<tr><td>a</td><td>b</td></tr><tr><td>c</td></tr>", "<tr><td>x</td></tr>") == "(<tr> (<td> # </td>)+ </tr>)+"
+    assert of("<h2>制度</h2>一<h2>附则</h2>二", "<h2>制度</h2>三<h2>附则</h2>四") == '<h2> "制度" </h2> # <h2> "附则" </h2> #'  # no mismatch of markup
+
+
+def test_long_streams_are_aligned_as_a_whole():
+    rng = random.Random(5)
+    a = [rng.choice(["<b>", "<i>", '"x"', '"y"']) for _ in range(60)]
+    b = [rng.choice(["<b>", "<i>", '"x"', '"z"']) for _ in range(45)]
+
+    def score(pairs):
+        assert all(i < k and j < n for (i, j), (k, n) in zip(pairs, pairs[1:]))
+        return sum(3 if a[i] == b[j] else 1 for i, j in pairs)
+
+    want = score(wrappers._matches(a, b))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(wrappers, "MOST_CELLS", 40)
+        assert score(wrappers._matches(a, b)) == want
+
+
 def test_wrappers_of_hosts(spark):
     said = [f"<h2>题{i}</h2>\n正文{'甲乙丙丁'[i % 4]}{i}。\n<hr>本页由系统自动生成" for i in range(12)]
     rows = [("h", t) for t in said] + [(None, "甲"), (None, None), ("g", "本页由系统自动生成")]
@@ -97,6 +168,21 @@ def test_wrappers_of_hosts(spark):
     assert len(cleaned) == 15 and markup.host_wrappers(df.limit(0)).count() == 0
 
 
+def test_found_by_wrappers(spark, tmp_path):
+    rows = [("a", "d1", "<ul><li>一<li>二</ul>"), ("b", "d1", "甲"), ("c", "d1", "R&amp;D"), ("d", "d2", "x <br> y"), ("d", "d2", "平文"), ("e", "d1", None), (None, "d1", "`码`"), (None, None, "乙"), ("f", None, "**粗**")]
+    df = spark.createDataFrame(rows, "chunk_id string, doc_id string, text string")
+    df.write.parquet(str(tmp_path / "chunks.parquet"))
+    spark.sql("select 'd1' doc_id, 'p/q/a.md' source_markdown_path, timestamp_ntz'2026-01-01' indexed_at").write.parquet(str(tmp_path / "document_index.parquet"))
+    assert sorted(str(r.chunk_id) for r in queries.p3_found(spark, str(tmp_path)).collect()) == ["None", "a", "c", "d", "f"]
+    texts = df.withColumnRenamed("doc_id", "host")
+    known = markup.host_wrappers(texts)
+    assert markup.found_by_wrappers(texts, known).count() == markup.with_markup(texts).count() == 5
+    # it is the wrapper of the host that tells markup from text
+    other = known.withColumn("nodes", F.lit(wrappers.dumped(wrappers.of_stream(["#", "<br>", "#"]))))
+    assert sorted(r.chunk_id for r in markup.found_by_wrappers(texts, other).collect()) == ["c", "d"]
+    assert markup.found_by_wrappers(texts.limit(0), known).count() == 0
+
+
 def test_markup_rows(spark, tmp_path):
     df = spark.createDataFrame([("a", "x <br> y"), ("a", "x <br> y"), ("b", None), ("c", ""), ("d", "平文"), (None, "甲"), (None, "乙")], "chunk_id string, text string")
     assert [r.chunk_id for r in markup.with_markup(df).collect()] == ["a"]
