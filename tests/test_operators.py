@@ -341,3 +341,28 @@ def test_no_questions_and_no_words(spark):
     assert retrieve.fused_evidence(chunks, none).count() == 0 and recall.recalled(chunks, retrieve.distinct_questions(none)).count() == 0
     silent = spark.createDataFrame([("q", None, "B", "？", None, "mcq", None, [])], QUESTION)
     assert retrieve.fused_evidence(chunks, silent).count() == 0
+
+
+def test_named_documents_are_found_without_shuffling_substrings(spark):
+    ids = ["d1", "文档一", "d", "x" * 40]
+    asked = spark.createDataFrame([("a", "d1 见文档一"), ("b", "d"), ("c", "甲"), ("e", "x" * 50)], "qid string, query string")
+    got = recall.named_in_queries(asked, spark.createDataFrame([(i,) for i in ids], "doc_id string"))
+    assert sorted(map(tuple, got.collect())) == [("a", "d"), ("a", "d1"), ("a", "文档一"), ("b", "d"), ("e", "x" * 40)]
+    plan = got._jdf.queryExecution().toString()
+    assert "sequence(" not in plan and "NestedLoop" not in plan
+
+
+def test_restrictions_of_a_search_are_computed_once(spark):
+    texts = spark.createDataFrame([("d", 1, "", [1, 2]), ("e", 2, "", [2])], "doc_id string, ord long, domain string, terms array<long>")
+    queries = spark.createDataFrame([("q", "", 5, [2], [1.0]), ("free", "", 5, [1, 2], [1.0, 1.0])], "query string, asked string, k int, terms array<long>, weights array<double>")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    restrict = spark.createDataFrame([("q", "e")], "query string, doc_id string").mapInArrow(counted, "query string, doc_id string")
+    got = scoring.search_within(texts, queries, restrict)
+    assert sorted((r.query, r.ord, r.score) for r in got.collect()) == [("free", 1, 2.0), ("free", 2, 1.0), ("q", 2, 1.0)]
+    assert seen.value == 1
