@@ -366,3 +366,19 @@ def test_restrictions_of_a_search_are_computed_once(spark):
     got = scoring.search_within(texts, queries, restrict)
     assert sorted((r.query, r.ord, r.score) for r in got.collect()) == [("free", 1, 2.0), ("free", 2, 1.0), ("q", 2, 1.0)]
     assert seen.value == 1
+
+
+def test_terms_of_a_search_are_counted_where_their_query_lies(spark):
+    from folioscan.operators import bm25
+
+    index = Bm25Index.build(chunk_table(spark, [(1, "a", "d", "", "net profit net"), (2, "b", "d", "", "profit cash"), (3, "c", "e", "", "other")])).kept()
+    tokens = spark.createDataFrame([("q", "net profit net none"), ("none", "missing"), ("empty", ""), ("null", None)], "query string, text string")
+    words = bm25.term_counts(tokens.select("query", index.tokenizer("text").alias("tokens"))).select("query", "terms", "tfs")
+    stated = scoring.materialize(index.terms.select("term", "idf").withColumn("term_id", F.monotonically_increasing_id()).coalesce(1), "terms")
+    got = bm25._weighted(words, stated)
+    plan = got._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Broadcast" not in plan
+    held, idf = {r.term: r.term_id for r in stated.collect()}, {r.term: r.idf for r in stated.collect()}
+    assert {r.query: dict(zip(r.terms, r.weights)) for r in got.collect()} == {"q": {held["net"]: 2 * idf["net"], held["profit"]: idf["profit"]}}
+    found = index.search(tokens.withColumn("domain", F.lit("")), top_k=5).orderBy("rank").collect()
+    assert [(r.query, r.ord) for r in found] == [("q", 1), ("q", 2)]
