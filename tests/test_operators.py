@@ -352,6 +352,16 @@ def test_named_documents_are_found_without_shuffling_substrings(spark):
     assert "sequence(" not in plan and "NestedLoop" not in plan
 
 
+def test_terms_of_queries_are_not_broadcast_by_the_driver(spark):
+    wanted = spark.createDataFrame([("q", "plain", "利率", 1.0), ("q", "bare", "利率", 2.0), ("r", "plain", "期", 3.0), ("r", None, "期", 4.0), ("r", "plain", "", 5.0)], "query string, kind string, term string, weight double")
+    stated = scoring.numbered_terms(wanted)
+    number = {(r.kind, r.term): r.term_id for r in stated.collect()}
+    got = scoring.terms_of_queries(wanted, stated, ["query"])
+    assert "Broadcast" not in got._jdf.queryExecution().toString()
+    assert {r.query: dict(zip(r.terms, r.weights)) for r in got.collect()} == {"q": {number["plain", "利率"]: 1.0, number["bare", "利率"]: 2.0}, "r": {number["plain", "期"]: 3.0}}
+    assert scoring.terms_of_queries(wanted.limit(0), scoring.numbered_terms(wanted.limit(0)), ["query"]).count() == 0
+
+
 def test_restrictions_of_a_search_are_computed_once(spark):
     texts = spark.createDataFrame([("d", 1, "", [1, 2]), ("e", 2, "", [2])], "doc_id string, ord long, domain string, terms array<long>")
     queries = spark.createDataFrame([("q", "", 5, [2], [1.0]), ("free", "", 5, [1, 2], [1.0, 1.0])], "query string, asked string, k int, terms array<long>, weights array<double>")
